@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from chartlake import functions as CF
 from chartlake import operators as OP
 from chartlake import schemas
+from chartlake.plans import materialize as M
 from chartlake.plans import reads, transform, twin
 
 QUERIES: dict = {}
@@ -49,19 +50,26 @@ def _t(spark, d, name):
 
 
 def sp_docs(spark, d):
-    return twin.spotify_top_tracks(spark, d)
+    """Landed Spotify chart documents (nested parquet, declared schema)."""
+    return M.raw(spark, d, "spotify_top_tracks")
 
 
 def sc_docs(spark, d):
-    return twin.soundcloud_top_tracks(spark, d)
+    return M.raw(spark, d, "soundcloud_top_tracks")
 
 
 def sp_facts(spark, d):
-    return transform.spotify(sp_docs(spark, d), twin.spotify_artists(spark, d))
+    """The Spotify transform run on the landed documents."""
+    return transform.spotify(sp_docs(spark, d), M.raw(spark, d, "spotify_artists"))
 
 
 def sc_facts(spark, d):
-    return transform.soundcloud(sc_docs(spark, d), twin.soundcloud_artists(spark, d))
+    return transform.soundcloud(sc_docs(spark, d), M.raw(spark, d, "soundcloud_artists"))
+
+
+def wh(spark, d, source):
+    """Warehouse tables (tracks, artists, track_genres) of one source."""
+    return tuple(M.table(spark, d, t, source) for t in ("tracks", "artists", "track_genres"))
 
 
 def events_snap(spark, d):
@@ -289,7 +297,7 @@ def latest_snapshot_of_day(spark, d):
 
 
 def _metadata(spark, d):
-    tr, ar, ge = sp_facts(spark, d)
+    tr, ar, ge = wh(spark, d, transform.SPOTIFY)
     return OP.snapshot_metadata({
         "tracks": (tr, schemas.KEYS["tracks"]),
         "artists": (ar, schemas.KEYS["artists"]),
@@ -334,21 +342,21 @@ GROUP BY source, duration, popularity, track_id, name, release_date, snapshot_ti
 
 @register("tracks_at_snapshot", _with(SP_TRACKS) + GROUPED)
 def tracks_at_snapshot(spark, d):
-    return reads.tracks_at(sp_facts(spark, d)[0], all_snapshots=True, limit=None, as_string=True)
+    return reads.tracks_at(wh(spark, d, transform.SPOTIFY)[0], all_snapshots=True, limit=None, as_string=True)
 
 
 @register("limit_topk", _with(SP_TRACKS) + ", g AS (" + GROUPED + """)
 SELECT * FROM g
 ORDER BY chart_date, source, track_id, name, duration, popularity, release_date LIMIT 50""")
 def limit_topk(spark, d):
-    return reads.tracks_at(sp_facts(spark, d)[0], all_snapshots=True, limit=50, as_string=True)
+    return reads.tracks_at(wh(spark, d, transform.SPOTIFY)[0], all_snapshots=True, limit=50, as_string=True)
 
 
 @register("group_concat", _with(SP_TRACKS) + """
 SELECT track_id, array_to_string(list_sort(list_distinct(list(artist_id))), ',') AS artists
 FROM sp_tracks GROUP BY track_id""")
 def group_concat(spark, d):
-    tr = sp_facts(spark, d)[0]
+    tr = wh(spark, d, transform.SPOTIFY)[0]
     return tr.groupBy("track_id").agg(CF.group_concat("artist_id").alias("artists"))
 
 
@@ -371,7 +379,7 @@ FROM (SELECT DISTINCT track_id, artist_id, snapshot_time, source FROM sp_tracks)
 JOIN sp_artists a ON a.artist_id = t.artist_id AND a.snapshot_time = t.snapshot_time
                   AND a.source = t.source""")
 def artists_of_track(spark, d):
-    tr, ar, _ = sp_facts(spark, d)
+    tr, ar, _ = wh(spark, d, transform.SPOTIFY)
     return reads.artists_of_tracks(tr, ar)
 
 
@@ -380,7 +388,7 @@ SELECT DISTINCT g.track_id, g.genre FROM sp_genres g
 JOIN sp_tracks t ON t.track_id = g.track_id AND t.snapshot_time = g.snapshot_time
                  AND t.source = g.source""")
 def genres_of_track(spark, d):
-    tr, _, ge = sp_facts(spark, d)
+    tr, _, ge = wh(spark, d, transform.SPOTIFY)
     return OP.genres_of(ge, tr, by="track_id")
 
 
@@ -389,7 +397,7 @@ SELECT DISTINCT t.artist_id, g.genre FROM sp_genres g
 JOIN sp_tracks t ON t.track_id = g.track_id AND t.snapshot_time = g.snapshot_time
                  AND t.source = g.source""")
 def genres_of_artist(spark, d):
-    tr, _, ge = sp_facts(spark, d)
+    tr, _, ge = wh(spark, d, transform.SPOTIFY)
     return OP.genres_of(ge, tr, by="artist_id")
 
 
@@ -400,13 +408,13 @@ SELECT artist_id, array_to_string(list_sort(list_distinct(list(genre))), ',') AS
                    AND t.source = g.source) x
 GROUP BY artist_id""")
 def genres_list_by_artist(spark, d):
-    tr, _, ge = sp_facts(spark, d)
+    tr, _, ge = wh(spark, d, transform.SPOTIFY)
     return OP.genres_list(OP.genres_of(ge, tr, by="artist_id"), "artist_id", sep=",")
 
 
 @register("distinct_genres", _with(SP_TRACKS) + "\nSELECT DISTINCT genre FROM sp_genres")
 def distinct_genres(spark, d):
-    return reads.genres(sp_facts(spark, d)[2], limit=None)
+    return reads.genres(wh(spark, d, transform.SPOTIFY)[2], limit=None)
 
 
 @register("optional_filters", """
@@ -497,7 +505,7 @@ SELECT t.* FROM sc_tracks t
 WHERE NOT EXISTS (SELECT 1 FROM sc_artists a WHERE a.artist_id = t.artist_id
                   AND a.snapshot_time = t.snapshot_time)""")
 def fk_orphan_tracks(spark, d):
-    tr, ar, _ = sc_facts(spark, d)
+    tr, ar, _ = wh(spark, d, transform.SOUNDCLOUD)
     return OP.fk_orphans(tr, ar, ["artist_id", "snapshot_time"])
 
 
@@ -528,7 +536,8 @@ FROM lines JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal < 0""")
 def missing_ids(spark, d):
     docs = sc_docs(spark, d)
     requested = docs.select("data_time", F.explode("collection.track.user_id").alias("id"))
-    fetched = twin.soundcloud_artists(spark, d).select("data_time", "id")
+    fetched = M.raw(spark, d, "soundcloud_artists").where(F.col("type").isNull()).select(
+        "data_time", "id")
     req = requested.where(F.col("id").isNotNull()).distinct()
     miss = req.join(fetched.distinct(), ["data_time", "id"], "left_anti")
     return OP.missing_report(miss, "id", "data_time")
@@ -691,12 +700,12 @@ TRACK_RULES_SQL = {
 
 @register("quality_artists", _with(SP_TRACKS) + "\n" + _rules_sql("sp_artists", ARTIST_RULES_SQL))
 def quality_artists(spark, d):
-    return OP.rule_counts(sp_facts(spark, d)[1], OP.quality.artist_rules())
+    return OP.rule_counts(wh(spark, d, transform.SPOTIFY)[1], OP.quality.artist_rules())
 
 
 @register("quality_tracks", _with(SC_FACTS) + "\n" + _rules_sql("sc_tracks", TRACK_RULES_SQL))
 def quality_tracks(spark, d):
-    return OP.rule_counts(sc_facts(spark, d)[0], OP.quality.track_rules())
+    return OP.rule_counts(wh(spark, d, transform.SOUNDCLOUD)[0], OP.quality.track_rules())
 
 
 @register("quality_required", """

@@ -16,6 +16,7 @@ from chartlake.functions.text import unknown_member
 from chartlake.functions.time import coalesce_timestamp, parse_iso, round_to_hour
 from chartlake.operators.dedupe import dedupe_latest
 from chartlake.operators.genres import genre_bridge
+from chartlake.schemas import UNKNOWN_ARTIST
 
 SPOTIFY, SOUNDCLOUD = "spotify", "soundcloud"
 
@@ -107,12 +108,14 @@ def soundcloud_genres(raw: DataFrame, snapshot_time=None) -> DataFrame:
     return g.where(F.col("genre").isNotNull() & (F.trim("genre") != "")).distinct()
 
 
-def soundcloud_artists(raw: DataFrame, tracks: DataFrame | None = None,
+def soundcloud_artists(raw: DataFrame, raw_tracks: DataFrame | None = None,
                        snapshot_time=None) -> DataFrame:
     """Artist documents only (the per-run missing-ids sentinel is split off).
 
-    When ``tracks`` is given, the unknown member is added for every snapshot
-    that has tracks without an artist, so the tracks -> artists key holds.
+    When ``raw_tracks`` is given, the unknown member is added for every
+    snapshot whose charts hold a track without a user, so the tracks ->
+    artists key holds. That check reads the raw documents (an explode and a
+    distinct over snapshots), not the deduplicated tracks.
     """
     docs = raw.where(F.col("type").isNull())
     arts = docs.select(
@@ -120,11 +123,12 @@ def soundcloud_artists(raw: DataFrame, tracks: DataFrame | None = None,
         F.lit(SOUNDCLOUD).alias("source"), F.col("followers_count").alias("total_followers"),
         snapshot_of("data_time", snapshot_time).alias("snapshot_time"))
     arts = dedupe_latest(arts, ["snapshot_time", "artist_id"], artist_order())
-    if tracks is not None:
-        from chartlake.schemas import UNKNOWN_ARTIST
-        unknown = (tracks.where(F.col("artist_id") == UNKNOWN_ARTIST)
-                   .select("snapshot_time").distinct()
-                   .select(F.lit(UNKNOWN_ARTIST).alias("artist_id"), F.lit(None).cast("string").alias("name"),
+    if raw_tracks is not None:
+        users = raw_tracks.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"),
+                                  F.explode("collection.track.user_id").alias("user_id"))
+        unknown = (users.where(F.col("user_id").isNull()).select("snapshot_time").distinct()
+                   .select(F.lit(UNKNOWN_ARTIST).alias("artist_id"),
+                           F.lit(None).cast("string").alias("name"),
                            F.lit(SOUNDCLOUD).alias("source"),
                            F.lit(None).cast("bigint").alias("total_followers"), "snapshot_time"))
         arts = arts.unionByName(unknown.join(arts, ["snapshot_time", "artist_id"], "left_anti")
@@ -141,6 +145,6 @@ def soundcloud_missing(raw: DataFrame) -> DataFrame:
 def soundcloud(raw_tracks: DataFrame, raw_artists: DataFrame, snapshot_time=None):
     """-> (tracks, artists, track_genres)."""
     tracks = soundcloud_tracks(raw_tracks, snapshot_time)
-    artists = soundcloud_artists(raw_artists, tracks, snapshot_time)
+    artists = soundcloud_artists(raw_artists, raw_tracks, snapshot_time)
     genres = soundcloud_genres(raw_tracks, snapshot_time)
     return tracks, artists, genres

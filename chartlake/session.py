@@ -25,6 +25,7 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -54,22 +55,32 @@ def apply_engine_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+_LOCAL_BASE: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage and stage rewrites.
 
-    On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    operator (a shared file system). Only when it is unset (local tests) do we
-    create one under the local temp folder.
+    On a cluster this is ``spark.checkpoint.dir`` as the operator configured
+    it (a shared file system); it is read from the session, never replaced.
+    Only when it is unset (local tests) do we create one under the local temp
+    folder, once per application.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="chartlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    # setCheckpointDir may append a uuid sub-folder; report what Spark uses.
-    return spark.sparkContext.getCheckpointDir() or d
+        app = sc.applicationId
+        d = _LOCAL_BASE.get(app) or tempfile.mkdtemp(prefix="chartlake-ckpt-")
+        _LOCAL_BASE[app] = d
+    if sc.getCheckpointDir() is None:
+        # used by DataFrame.checkpoint(); Spark adds its own sub-folder
+        sc.setCheckpointDir(d)
+    return d
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
