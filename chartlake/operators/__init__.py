@@ -6,7 +6,7 @@ from chartlake.operators.frontier import missing_ids, missing_report, request_fr
 from chartlake.operators.genres import (  # noqa: F401
     distinct_genres, genre_bridge, genres_list, genres_of,
 )
-from chartlake.operators.nested import explode_one, explode_two, flatten_distinct  # noqa: F401
+from chartlake.operators.nested import explode_fields, explode_one, explode_two, flatten_distinct  # noqa: F401
 from chartlake.operators.quality import (  # noqa: F401
     check, fk_orphans, null_counts, rule_counts,
 )

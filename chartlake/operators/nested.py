@@ -30,6 +30,31 @@ def explode_one(df: DataFrame, path: str, alias: str, keep: list[str] | None = N
     return df.select(*keep, gen.alias(alias))
 
 
+def explode_fields(df: DataFrame, path: str, fields: dict[str, str], keep: list[str] | None = None,
+                   position: str | None = None, outer: bool = False) -> DataFrame:
+    """Explode an array of structs, keeping only the listed leaf fields.
+
+    ``fields`` maps output name -> path inside the element (``track.id``),
+    or -> a Column over the whole array for leaves below a second array level
+    (e.g. ``transform(items.track.artists, a -> a.id)``).
+    Same rows as ``explode_one`` + field selection (a NULL/empty array drops
+    the row, a NULL element gives NULL fields), but the leaves are zipped
+    from their own arrays (``arrays_zip(items.track.id, ...)``) before the
+    explode, so the parquet scan reads only those leaves: Catalyst prunes
+    nested columns through a generator only when one field is used.
+    """
+    keep = [F.col(k) for k in (keep or [])]
+    names = list(fields)
+    zipped = F.arrays_zip(*[(sub if isinstance(sub, Column) else F.col(f"{path}.{sub}")).alias(n)
+                            for n, sub in fields.items()])
+    if position:
+        gen = (F.posexplode_outer if outer else F.posexplode)(zipped).alias(position, "__z")
+        out = df.select(*keep, gen)
+        return out.select(*keep, position, *[F.col(f"__z.{n}").alias(n) for n in names])
+    gen = (F.explode_outer if outer else F.explode)(zipped).alias("__z")
+    return df.select(*keep, gen).select(*keep, *[F.col(f"__z.{n}").alias(n) for n in names])
+
+
 def explode_two(df: DataFrame, outer: str, inner: str, outer_alias: str, inner_alias: str,
                 keep: list[str] | None = None) -> DataFrame:
     """Chained explode: rows x outer elements x inner elements.

@@ -178,10 +178,11 @@ SELECT concat('/charts/', o_orderkey, '/0') AS href, CAST(pos AS BIGINT) AS posi
        track_id, added_at
 FROM ranked""")
 def explode_items(spark, d):
-    items = OP.explode_one(sp_docs(spark, d), "items", "item", keep=["href"], position="position")
+    items = OP.explode_fields(sp_docs(spark, d), "items",
+                              {"track_id": "track.id", "added_at": "added_at"},
+                              keep=["href"], position="position")
     return items.select("href", F.col("position").cast("bigint").alias("position"),
-                        F.col("item.track.id").alias("track_id"),
-                        F.col("item.added_at").alias("added_at"))
+                        "track_id", "added_at")
 
 
 @register("explode_two_level", _with(LINES) + """
@@ -191,9 +192,11 @@ UNION ALL
 SELECT concat('/charts/', o_orderkey, '/0'), CAST(l_partkey AS VARCHAR), concat('c', o_custkey)
 FROM lines""")
 def explode_two_level(spark, d):
-    rows = OP.explode_two(sp_docs(spark, d), "items", "track.artists", "item", "artist", keep=["href"])
-    return rows.select("href", F.col("item.track.id").alias("track_id"),
-                       F.col("artist.id").alias("artist_id"))
+    items = OP.explode_fields(sp_docs(spark, d), "items",
+                              {"track_id": "track.id",
+                               "artist_ids": F.transform("items.track.artists", lambda a: a["id"])},
+                              keep=["href"])
+    return items.select("href", "track_id", F.explode("artist_ids").alias("artist_id"))
 
 
 @register("nested_projection", _with(LINES) + """
@@ -202,12 +205,10 @@ SELECT concat('/charts/', o_orderkey, '/0') AS href, CAST(l_partkey AS VARCHAR)
        CAST(l_quantity AS BIGINT) AS popularity, 'spotify' AS source
 FROM lines""")
 def nested_projection(spark, d):
-    items = OP.explode_one(sp_docs(spark, d), "items", "item", keep=["href"])
-    return items.select("href",
-                        F.col("item.track.id").alias("track_id"),
-                        F.col("item.track.name").alias("name"),
-                        F.col("item.track.duration_ms").alias("duration"),
-                        F.col("item.track.popularity").alias("popularity"),
+    items = OP.explode_fields(sp_docs(spark, d), "items", {
+        "track_id": "track.id", "name": "track.name", "duration": "track.duration_ms",
+        "popularity": "track.popularity"}, keep=["href"])
+    return items.select("href", "track_id", "name", "duration", "popularity",
                         F.lit("spotify").alias("source"))
 
 
@@ -216,10 +217,12 @@ SELECT concat('charts:', o_orderkey, ':0') AS query_urn, CAST(l_partkey AS VARCH
        CASE WHEN l_returnflag <> 'N' THEN l_shipdate ELSE o_orderdate END AS release_date
 FROM lines""")
 def coalesce_timestamp(spark, d):
-    items = OP.explode_one(sc_docs(spark, d), "collection", "c", keep=["query_urn"])
+    items = OP.explode_fields(sc_docs(spark, d), "collection", {
+        "id": "track.id", "release_text": "track.release_date", "created_text": "track.created_at"},
+        keep=["query_urn"])
     return items.select(
-        "query_urn", F.col("c.track.id").cast("string").alias("track_id"),
-        CF.coalesce_timestamp("c.track.release_date", "c.track.created_at").alias("release_date"))
+        "query_urn", F.col("id").cast("string").alias("track_id"),
+        CF.coalesce_timestamp("release_text", "created_text").alias("release_date"))
 
 
 @register("unknown_member", """
@@ -334,7 +337,7 @@ def snapshot_join(spark, d):
 
 GROUPED = """
 SELECT source, duration, popularity, track_id,
-       array_to_string(list_sort(list_distinct(list(artist_id))), ',') AS artist_id,
+       nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artist_id,
        name, release_date, snapshot_time AS chart_date
 FROM sp_tracks
 GROUP BY source, duration, popularity, track_id, name, release_date, snapshot_time"""
@@ -353,7 +356,7 @@ def limit_topk(spark, d):
 
 
 @register("group_concat", _with(SP_TRACKS) + """
-SELECT track_id, array_to_string(list_sort(list_distinct(list(artist_id))), ',') AS artists
+SELECT track_id, nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
 FROM sp_tracks GROUP BY track_id""")
 def group_concat(spark, d):
     tr = wh(spark, d, transform.SPOTIFY)[0]
@@ -361,7 +364,7 @@ def group_concat(spark, d):
 
 
 @register("split_list", _with(SP_TRACKS) + """,
-g AS (SELECT track_id, array_to_string(list_sort(list_distinct(list(artist_id))), ',') AS artists
+g AS (SELECT track_id, nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
       FROM sp_tracks GROUP BY track_id)
 SELECT track_id, CAST(len(string_split(artists, ',')) AS BIGINT) AS n_artists,
        string_split(artists, ',')[1] AS first_artist

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chartlake.functions.text import unknown_member
 from chartlake.functions.time import coalesce_timestamp, parse_iso, round_to_hour
 from chartlake.operators.dedupe import dedupe_latest
+from chartlake.operators.nested import explode_fields
 from chartlake.operators.genres import genre_bridge
 from chartlake.schemas import UNKNOWN_ARTIST
 
@@ -42,20 +43,16 @@ def snapshot_of(data_time, snapshot_time=None):
 
 
 def spotify_tracks(raw: DataFrame, snapshot_time=None) -> DataFrame:
-    items = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"),
-                       F.explode("items").alias("item"))
-    rows = items.select(
-        "snapshot_time", "item",
-        F.explode("item.track.artists").alias("artist"))
-    tracks = rows.select(
-        F.col("item.track.id").alias("track_id"),
-        F.col("item.track.name").alias("name"),
-        F.col("item.track.duration_ms").alias("duration"),
-        F.lit(SPOTIFY).alias("source"),
-        parse_iso("item.added_at").alias("release_date"),
-        F.col("item.track.popularity").alias("popularity"),
-        F.col("artist.id").alias("artist_id"),
-        "snapshot_time")
+    docs = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"), "items")
+    items = explode_fields(docs, "items", {
+        "track_id": "track.id", "name": "track.name", "duration": "track.duration_ms",
+        "popularity": "track.popularity", "added_at": "added_at",
+        "artist_ids": F.transform("items.track.artists", lambda a: a["id"])}, keep=["snapshot_time"])
+    # second level: one row per artist; a track without artists vanishes
+    tracks = items.select(
+        "track_id", "name", "duration", F.lit(SPOTIFY).alias("source"),
+        parse_iso("added_at").alias("release_date"), "popularity",
+        F.explode("artist_ids").alias("artist_id"), "snapshot_time")
     return dedupe_latest(tracks, ["snapshot_time", "track_id", "artist_id"], track_order())
 
 
@@ -83,16 +80,19 @@ def spotify(raw_tracks: DataFrame, raw_artists: DataFrame, snapshot_time=None):
 
 
 def soundcloud_tracks(raw: DataFrame, snapshot_time=None) -> DataFrame:
-    items = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"),
-                       F.explode("collection").alias("c"))
+    docs = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"), "collection")
+    items = explode_fields(docs, "collection", {
+        "id": "track.id", "title": "track.title", "duration": "track.duration",
+        "release_text": "track.release_date", "created_text": "track.created_at",
+        "likes": "track.likes_count", "user_id": "track.user_id"}, keep=["snapshot_time"])
     tracks = items.select(
-        F.col("c.track.id").cast("string").alias("track_id"),
-        F.col("c.track.title").alias("name"),
-        F.col("c.track.duration").alias("duration"),
+        F.col("id").cast("string").alias("track_id"),
+        F.col("title").alias("name"),
+        "duration",
         F.lit(SOUNDCLOUD).alias("source"),
-        coalesce_timestamp("c.track.release_date", "c.track.created_at").alias("release_date"),
-        F.col("c.track.likes_count").alias("popularity"),
-        unknown_member("c.track.user_id").alias("artist_id"),
+        coalesce_timestamp("release_text", "created_text").alias("release_date"),
+        F.col("likes").alias("popularity"),
+        unknown_member("user_id").alias("artist_id"),
         "snapshot_time")
     return dedupe_latest(tracks, ["snapshot_time", "track_id", "artist_id"], track_order())
 
@@ -100,10 +100,10 @@ def soundcloud_tracks(raw: DataFrame, snapshot_time=None) -> DataFrame:
 def soundcloud_genres(raw: DataFrame, snapshot_time=None) -> DataFrame:
     """Genre is a field of the track itself; blank genres are dropped
     (the column is NOT NULL) and repeats collapse."""
-    items = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"),
-                       F.explode("collection").alias("c"))
-    g = items.select(F.col("c.track.id").cast("string").alias("track_id"),
-                     F.col("c.track.genre").alias("genre"),
+    docs = raw.select(snapshot_of("data_time", snapshot_time).alias("snapshot_time"), "collection")
+    items = explode_fields(docs, "collection", {"id": "track.id", "genre": "track.genre"},
+                           keep=["snapshot_time"])
+    g = items.select(F.col("id").cast("string").alias("track_id"), "genre",
                      F.lit(SOUNDCLOUD).alias("source"), "snapshot_time")
     return g.where(F.col("genre").isNotNull() & (F.trim("genre") != "")).distinct()
 

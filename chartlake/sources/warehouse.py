@@ -35,7 +35,9 @@ def table_path(root: str, table: str) -> str:
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Scan a warehouse table with its declared schema."""
     path = table_path(root, table)
-    return spark.read.schema(schemas.WAREHOUSE[table]).parquet(path)
+    st = schemas.WAREHOUSE[table]
+    # partition columns come back last; restore the declared order
+    return spark.read.schema(st).parquet(path).select(*st.fieldNames())
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
