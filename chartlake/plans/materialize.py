@@ -15,6 +15,7 @@ import hashlib
 import os
 import threading
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +73,19 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     """Landing zone with the four raw collections (built when absent)."""
     root = os.path.join(_root(spark, sf_dir), "landing")
     with _LOCK:
-        for coll, build in BUILDERS.items():
-            path = L.collection_path(root, coll)
-            if not _done(spark, path):
-                build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        todo = [c for c in BUILDERS if not _done(spark, L.collection_path(root, c))]
+        if not todo:
+            return root
+        # the joined order lines feed all four collections: compute them once.
+        # MEMORY_AND_DISK spills instead of failing; blocks lost with an
+        # executor are recomputed from the lineage.
+        lines = twin.chart_lines(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for coll in todo:
+                BUILDERS[coll](spark, sf_dir, lines).write.mode("overwrite").parquet(
+                    L.collection_path(root, coll))
+        finally:
+            lines.unpersist()
     return root
 
 

@@ -80,8 +80,14 @@ def spotify_item():
     return F.struct(iso_text("l_shipdate").alias("added_at"), track.alias("track"))
 
 
-def spotify_top_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _paged_docs(chart_lines(spark, sf_dir), spotify_item())
+def _lines(spark, sf_dir, lines, keep_empty):
+    if lines is None:
+        return chart_lines(spark, sf_dir, keep_empty)
+    return lines if keep_empty else lines.where(F.col("l_orderkey").isNotNull())
+
+
+def spotify_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    docs = _paged_docs(_lines(spark, sf_dir, lines, True), spotify_item())
     return docs.select(
         F.concat(F.lit("/charts/"), F.col("o_orderkey"), F.lit("/"), F.coalesce("page", F.lit(0))).alias("href"),
         F.lit(PAGE_SIZE).cast("bigint").alias("limit"),
@@ -102,8 +108,8 @@ def _genres(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("nationkey"), F.array("n_name", "r_name").alias("genres"))
 
 
-def spotify_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = chart_lines(spark, sf_dir, keep_empty=False)
+def spotify_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = _lines(spark, sf_dir, lines, False)
     g = F.broadcast(_genres(spark, sf_dir))
     sup_runs = lines.select("o_orderdate", F.col("l_suppkey").alias("key")).distinct()
     cus_runs = lines.select("o_orderdate", F.col("o_custkey").alias("key")).distinct()
@@ -135,8 +141,8 @@ def soundcloud_item():
     return F.struct(track.alias("track"))
 
 
-def soundcloud_top_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _paged_docs(chart_lines(spark, sf_dir), soundcloud_item())
+def soundcloud_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    docs = _paged_docs(_lines(spark, sf_dir, lines, True), soundcloud_item())
     return docs.select(
         F.lit("all-music").alias("genre"), F.lit("top").alias("kind"),
         run_stamp("o_orderdate").alias("last_updated"),
@@ -145,10 +151,10 @@ def soundcloud_top_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_stamp("o_orderdate").alias("data_time"))
 
 
-def soundcloud_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def soundcloud_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Artist documents of the suppliers each run names (failed fetches -
     negative balance - have no document)."""
-    lines = chart_lines(spark, sf_dir, keep_empty=False)
+    lines = _lines(spark, sf_dir, lines, False)
     runs = lines.select("o_orderdate", F.col("l_suppkey").alias("key")).distinct()
     s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
     return runs.join(s, runs.key == s.s_suppkey).select(
