@@ -108,22 +108,53 @@ def drop_snapshot(spark: SparkSession, root: str, at, source: str,
 
 
 def rewrite_table(spark: SparkSession, root: str, table: str,
-                  fn: Callable[[DataFrame], DataFrame]) -> None:
+                  fn: Callable[[DataFrame], DataFrame], where=None) -> None:
     """Apply a row-level rewrite (upsert, delete by keys) to a table.
 
+    ``where`` is a predicate on the partition columns (``source``,
+    ``snapshot_time``) naming the partitions the change may touch; only those
+    are read (partition pruning), rewritten and swapped - the rest of the
+    table is never scanned. Without it the whole table is rewritten.
+
     The new content is first written to a staging folder under the shared
     checkpoint dir (cutting the lineage to the files being replaced), then
-    the touched partitions are overwritten from the staged copy; partitions
-    that became empty are removed explicitly (dynamic overwrite would leave
-    them in place).
+    the touched partitions are overwritten from the staged copy; touched
+    partitions that became empty are removed explicitly (dynamic overwrite
+    would leave them in place).
     """
     current = read_table(spark, root, table)
+    target = table_path(root, table)
+    touched = _list_partitions(spark, target)
+    if where is not None:
+        current = current.where(where)
+        touched = _matching_partitions(spark, touched, where)
     stage = staging_path(spark, table)
     conform(fn(current), table).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(stage)
     staged = spark.read.schema(schemas.WAREHOUSE[table]).parquet(stage)
     staged.write.mode("overwrite").partitionBy(*PARTITIONS) \
-        .option("partitionOverwriteMode", "dynamic").parquet(table_path(root, table))
-    _remove_missing_partitions(spark, table_path(root, table), stage)
+        .option("partitionOverwriteMode", "dynamic").parquet(target)
+    for rel in touched - _list_partitions(spark, stage):
+        if rel:
+            fs, p = _fs(spark, os.path.join(target, rel))
+            fs.delete(p, True)
+
+
+def _matching_partitions(spark: SparkSession, rels: set[str], where) -> set[str]:
+    """Partition folders whose values satisfy ``where``.
+
+    Evaluated by Spark on a frame of the folder *names* (one row per
+    partition - metadata, not table rows).
+    """
+    from urllib.parse import unquote
+    if not rels:
+        return set()
+    recs = []
+    for rel in sorted(rels):
+        vals = dict(kv.split("=", 1) for kv in rel.split("/"))
+        recs.append((rel, unquote(vals["source"]), unquote(vals["snapshot_time"])))
+    df = spark.createDataFrame(recs, "rel string, source string, t string").select(
+        "rel", "source", F.col("t").cast("timestamp_ntz").alias("snapshot_time"))
+    return {r.rel for r in df.where(where).select("rel").collect()}
 
 
 def _list_partitions(spark: SparkSession, path: str) -> set[str]:
@@ -137,10 +168,3 @@ def _list_partitions(spark: SparkSession, path: str) -> set[str]:
                 if s2.isDirectory() and "=" in s2.getPath().getName():
                     out.add(f"{s.getPath().getName()}/{s2.getPath().getName()}")
     return out
-
-
-def _remove_missing_partitions(spark: SparkSession, target: str, stage: str) -> None:
-    gone = _list_partitions(spark, target) - _list_partitions(spark, stage)
-    for rel in gone:
-        fs, p = _fs(spark, os.path.join(target, rel))
-        fs.delete(p, True)

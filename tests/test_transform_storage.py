@@ -156,6 +156,14 @@ def test_rewrite_table_upsert_and_emptied_partition(spark, tmpdir_path):
                     lambda df: OP.replace_upsert(df, upd, ["snapshot_time", "source", "artist_id"]))
     a = W.read_table(spark, root, "artists")
     assert rows(a, "artist_id", "total_followers") == [("A1", 99), ("A2", 3), ("A3", None)]
+    # a rewrite restricted to one partition leaves the others alone
+    t3, a3, g3 = transform.spotify(sp_docs(spark, RUN1), sp_artists(spark, RUN1))
+    W.load_snapshot(root, t3, a3, g3)
+    one = (F.col("source") == "spotify") & (F.col("snapshot_time") == dt.datetime(2024, 1, 15, 10))
+    W.rewrite_table(spark, root, "artists", lambda df: df.where(F.lit(False)), where=one)
+    a = W.read_table(spark, root, "artists")
+    assert {r.snapshot_time for r in a.collect()} == {dt.datetime(2024, 1, 15, 11)}
+    assert rows(a, "artist_id", "total_followers") == [("A1", 99), ("A2", 3), ("A3", None)]
 
 
 def test_incremental_ingest(spark, tmpdir_path):
