@@ -27,6 +27,9 @@ from chartlake.functions.time import iso_text
 
 # Fixed value: one chart page holds at most 100 items (the sources' page size).
 PAGE_SIZE = 100
+# A chart with more items than this is numbered in hash-split sub-groups.
+SALT_ROWS = 1_000_000
+PAGES_PER_SALT = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,13 +57,26 @@ def chart_lines(spark: SparkSession, sf_dir: str, keep_empty: bool = True) -> Da
 def _paged_docs(lines: DataFrame, item) -> DataFrame:
     """Group items into documents of at most PAGE_SIZE items, sorted.
 
-    The window and the grouping share the shuffle on the order key.
+    Pages are numbered by ``row_number`` inside a window. A hot chart (one
+    order holding a third of all rows) must not be numbered by one task, so
+    an order with more than SALT_ROWS items is first split by a hash of the
+    item into ``ceil(n / SALT_ROWS)`` sub-groups, and pages are numbered
+    within each sub-group: every window partition holds about SALT_ROWS rows
+    at most. Orders below the threshold (the usual case) keep one sub-group,
+    so their pages are the plain ``row_number`` pages. The per-order counts
+    are a partial/final aggregate; the join back is on the order key, which
+    AQE's skew-join handling can split.
     """
     has_item = F.col("l_orderkey").isNotNull()
-    w = Window.partitionBy("o_orderkey").orderBy(item.alias("__i"))
     with_item = lines.withColumn("__item", F.when(has_item, item))
-    ranked = with_item.withColumn(
-        "page", F.floor((F.row_number().over(w) - 1) / F.lit(PAGE_SIZE)).cast("int"))
+    sizes = with_item.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+    salted = (with_item.join(sizes, "o_orderkey")
+              .withColumn("__salt", F.when(F.col("__n") <= SALT_ROWS, F.lit(0)).otherwise(
+                  F.pmod(F.xxhash64("__item"), F.ceil(F.col("__n") / F.lit(SALT_ROWS))))))
+    w = Window.partitionBy("o_orderkey", "__salt").orderBy("__item")
+    rn = F.row_number().over(w) - 1
+    ranked = salted.withColumn(
+        "page", (F.col("__salt") * F.lit(PAGES_PER_SALT) + F.floor(rn / F.lit(PAGE_SIZE))).cast("int"))
     return ranked.groupBy("o_orderkey", "o_orderdate", "page").agg(
         F.array_sort(F.collect_list("__item")).alias("items"))
 

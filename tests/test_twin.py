@@ -1,0 +1,34 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from chartlake.plans import twin
+
+
+def _lines(spark, n_hot, n_small):
+    rows = [(1, dt.datetime(2024, 1, 1), 1, i) for i in range(n_hot)]
+    rows += [(2, dt.datetime(2024, 1, 2), 2, i) for i in range(n_small)]
+    rows += [(3, dt.datetime(2024, 1, 3), None, None)]  # an order without items
+    return spark.createDataFrame(rows, "o_orderkey int, o_orderdate timestamp, l_orderkey int, v int")
+
+
+def test_pages_bounded_and_hot_chart_split(spark, monkeypatch):
+    monkeypatch.setattr(twin, "SALT_ROWS", 120)
+    docs = twin._paged_docs(_lines(spark, 1000, 7), F.struct(F.col("v").alias("v")))
+    got = docs.select("o_orderkey", "page", F.size("items").alias("n"),
+                      F.transform("items", lambda x: x["v"]).alias("vs")).collect()
+    assert max(r.n for r in got) <= twin.PAGE_SIZE
+    hot = sorted(v for r in got if r.o_orderkey == 1 for v in r.vs)
+    assert hot == list(range(1000))                     # every item exactly once
+    assert len({r.page for r in got if r.o_orderkey == 1}) >= 10
+    small = [r for r in got if r.o_orderkey == 2]
+    assert len(small) == 1 and small[0].vs == list(range(7)) and small[0].page == 0
+    empty = [r for r in got if r.o_orderkey == 3]
+    assert len(empty) == 1 and empty[0].n == 0
+
+
+def test_unsalted_pages_are_sorted_runs(spark):
+    docs = twin._paged_docs(_lines(spark, 250, 0), F.struct(F.col("v").alias("v")))
+    pages = {r.page: [x.v for x in r.items] for r in docs.where("o_orderkey = 1").collect()}
+    assert sorted(pages) == [0, 1, 2]
+    assert pages[0] == list(range(100)) and pages[2] == list(range(200, 250))
