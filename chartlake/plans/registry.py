@@ -725,6 +725,24 @@ def quality_required(spark, d):
     return OP.null_counts(j, ["o_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
 
 
+_REQ_SQL_GROUP = """
+SELECT source, track_id, name, release_date, snapshot_time AS chart_date,
+       nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artist_id
+FROM (SELECT * FROM sp_tracks UNION ALL SELECT * FROM sc_tracks) t
+GROUP BY source, duration, popularity, track_id, name, release_date, snapshot_time"""
+
+
+@register("quality_required_fields", "WITH " + SP_TRACKS.strip() + "," + SC_FACTS.replace(LINES + ",", "")
+          + ", g AS (" + _REQ_SQL_GROUP + ")\n" + "\nUNION ALL ".join(
+              f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM g"
+              for c in OP.quality.REQUIRED_TRACK_FIELDS))
+def quality_required_fields(spark, d):
+    """Required fields of the API track rows (F12), over both sources."""
+    tracks = M.table(spark, d, "tracks")
+    rows = reads.tracks_at(tracks, all_snapshots=True, limit=None, as_string=True)
+    return OP.null_counts(rows, OP.quality.REQUIRED_TRACK_FIELDS)
+
+
 @lru_cache(maxsize=None)
 def names() -> tuple[str, ...]:
     return tuple(QUERIES)
