@@ -725,6 +725,44 @@ def quality_required(spark, d):
     return OP.null_counts(j, ["o_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
 
 
+DOC_RULES_SQL = {
+    "text_null": "text IS NULL",
+    "n_chars_negative": "n_chars < 0",
+    "n_chars_mismatch": "n_chars <> length(text)",
+    "source_too_long": f"length(source) > {schemas.SOURCE_MAX_LEN}",
+}
+PART_RULES_SQL = {
+    "name_too_long": f"length(p_name) > {schemas.NAME_MAX_LEN}",
+    "type_too_long": f"length(p_type) > {schemas.GENRE_MAX_LEN}",
+    "type_null": "p_type IS NULL",
+}
+
+
+@register("quality_length", "\nUNION ALL ".join(
+    [f"SELECT 'documents' AS \"table\", '{n}' AS rule, count(*) FILTER (WHERE {c}) AS violations "
+     f"FROM documents" for n, c in DOC_RULES_SQL.items()]
+    + [f"SELECT 'part', '{n}', count(*) FILTER (WHERE {c}) FROM part" for n, c in PART_RULES_SQL.items()]))
+def quality_length(spark, d):
+    """Length / NULL / consistency rules over whole document texts and part
+    names (one aggregate pass per table)."""
+    docs = _t(spark, d, "documents")
+    doc_rules = {
+        "text_null": F.col("text").isNull(),
+        "n_chars_negative": F.col("n_chars") < 0,
+        "n_chars_mismatch": F.col("n_chars") != F.length("text"),
+        "source_too_long": F.length("source") > schemas.SOURCE_MAX_LEN,
+    }
+    part = _t(spark, d, "part")
+    part_rules = {
+        "name_too_long": F.length("p_name") > schemas.NAME_MAX_LEN,
+        "type_too_long": F.length("p_type") > schemas.GENRE_MAX_LEN,
+        "type_null": F.col("p_type").isNull(),
+    }
+    a = OP.rule_counts(docs, doc_rules).select(F.lit("documents").alias("table"), "rule", "violations")
+    b = OP.rule_counts(part, part_rules).select(F.lit("part").alias("table"), "rule", "violations")
+    return a.unionByName(b)
+
+
 _REQ_SQL_GROUP = """
 SELECT source, track_id, name, release_date, snapshot_time AS chart_date,
        nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artist_id
