@@ -51,18 +51,26 @@ def write_snapshot(df: DataFrame, root: str, table: str, snapshot_time=None,
     """Write one table's rows of one (or several) snapshots.
 
     ``snapshot_time`` stamps every row with the hour-rounded run time (taken
-    from the run parameter, never from the wall clock). Rows are clustered
-    by the partition columns (one shuffle) so each output partition folder
-    gets few, large files; ``n_files`` caps files per folder.
+    from the run parameter, never from the wall clock).
+
+    No shuffle by default: each task writes its rows, sorted by partition
+    and key columns (tight parquet min/max statistics), into the folders they
+    belong to. Repartitioning by the partition columns would send a whole
+    run - every row of one snapshot shares them - to a single writer task.
+    ``n_files`` bounds the files per folder instead: rows are hashed on the
+    partition columns *plus* a key-derived salt in ``[0, n_files)``, so each
+    folder is written by at most ``n_files`` tasks and a hot folder is split
+    ``n_files`` ways.
     """
     if snapshot_time is not None:
         df = df.withColumn("snapshot_time", round_to_hour(F.lit(str(snapshot_time)).cast("timestamp_ntz")))
     df = conform(df, table)
     parts = list(partition_by)
-    if parts:
-        df = df.repartition(n_files, *parts) if n_files else df.repartition(*parts)
-        sort_key = [c for c in schemas.KEYS[table]]
-        df = df.sortWithinPartitions(*parts, *sort_key)
+    keys = list(schemas.KEYS[table])
+    if n_files:
+        salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(int(n_files)))
+        df = df.repartition(*[F.col(p) for p in parts], salt)
+    df = df.sortWithinPartitions(*parts, *keys)
     (df.write.mode("overwrite").partitionBy(*parts)
        .option("partitionOverwriteMode", "dynamic")
        .parquet(table_path(root, table)))

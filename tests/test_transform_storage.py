@@ -181,3 +181,17 @@ def test_incremental_ingest(spark, tmpdir_path):
         dt.datetime(2024, 1, 15, 10), dt.datetime(2024, 1, 15, 11)}
     ingest(spark, land, wh, "spotify", checkpoint=ck).awaitTermination()  # nothing new
     assert W.read_table(spark, wh, "track_genres").count() == 4
+
+
+def test_write_snapshot_file_bound(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "wh")
+    tracks, artists, genres = transform.spotify(sp_docs(spark), sp_artists(spark))
+    rest = [c for c in tracks.columns if c != "track_id"]
+    big = tracks.select("track_id", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("i"), *rest).select(
+        F.concat("track_id", F.col("i").cast("string")).alias("track_id"), *rest)
+    W.write_snapshot(big, root, "tracks", n_files=3)
+    folder = os.path.join(root, "tracks", "source=spotify")
+    sub = [d for d in os.listdir(folder) if d.startswith("snapshot_time=")]
+    files = [f for f in os.listdir(os.path.join(folder, sub[0])) if f.endswith(".parquet")]
+    assert 1 <= len(files) <= 3
+    assert W.read_table(spark, root, "tracks").count() == 150
