@@ -36,17 +36,31 @@ def genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
     """Distinct ``(by, genre)`` through the tracks table (``by`` = track_id
     or artist_id); ``value`` restricts to one id (pushed below the join).
 
-    Both sides are reduced to distinct keys before the many-to-many join.
+    Both sides are first folded to one row per join key ``(track_id,
+    *along)`` - the genre set and the artist set of that track in that
+    snapshot (``collect_set``: de-duplicated map-side, bounded by distinct
+    values). The join then matches keys one-to-one and reuses that
+    partitioning (no further shuffle), and no duplicate on either side can
+    multiply the output. For ``by='track_id'`` the tracks side is only an
+    existence check (a semi-join). NULL ids and genres are not members.
     """
-    along = list(along)
-    g = track_genres.select("track_id", "genre", *along).distinct()
-    t = tracks.select("track_id", *([] if by == "track_id" else [by]), *along)
+    keys = ["track_id", *along]
+    g = track_genres
+    t = tracks
     if value is not None:
         t = t.where(F.col(by) == F.lit(value))
         if by == "track_id":
             g = g.where(F.col("track_id") == F.lit(value))
-    t = t.distinct()
-    return g.join(t, ["track_id", *along], "inner").select(by, "genre").distinct()
+    g = g.groupBy(*keys).agg(F.collect_set("genre").alias("__genres"))
+    if by == "track_id":
+        hit = g.join(t.select(*keys).distinct(), keys, "left_semi")
+        out = hit.select("track_id", F.explode("__genres").alias("genre"))
+    else:
+        members = t.groupBy(*keys).agg(F.collect_set(by).alias("__members"))
+        hit = g.join(members, keys, "inner")
+        out = (hit.select(F.explode("__members").alias(by), "__genres")
+                  .select(by, F.explode("__genres").alias("genre")))
+    return out.distinct()
 
 
 def genres_list(pairs: DataFrame, by: str, sep: str | None = None) -> DataFrame:
