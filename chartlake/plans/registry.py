@@ -386,6 +386,15 @@ def artists_of_track(spark, d):
     return reads.artists_of_tracks(tr, ar)
 
 
+@register("artists_at_latest", _with(SP_TRACKS) + """
+SELECT source, artist_id, name, total_followers, snapshot_time AS chart_date FROM sp_artists
+WHERE snapshot_time IN (SELECT max(snapshot_time) FROM sp_artists GROUP BY CAST(snapshot_time AS DATE))""")
+def artists_at_latest(spark, d):
+    """Artists of the latest snapshot of every day (J3, A2 per table)."""
+    _, ar, _ = wh(spark, d, transform.SPOTIFY)
+    return reads.artists_at(ar, every_day=True, limit=None)
+
+
 @register("genres_of_track", _with(SP_TRACKS) + """
 SELECT DISTINCT g.track_id, g.genre FROM sp_genres g
 JOIN sp_tracks t ON t.track_id = g.track_id AND t.snapshot_time = g.snapshot_time
