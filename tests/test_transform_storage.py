@@ -195,3 +195,29 @@ def test_write_snapshot_file_bound(spark, tmpdir_path):
     files = [f for f in os.listdir(os.path.join(folder, sub[0])) if f.endswith(".parquet")]
     assert 1 <= len(files) <= 3
     assert W.read_table(spark, root, "tracks").count() == 150
+
+
+def test_job_load_and_clean(spark, tmpdir_path):
+    from chartlake.plans import job
+    land, wh = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "wh")
+    for run in (RUN1, RUN2):
+        L.land(sp_docs(spark, run), land, "spotify_top_tracks")
+        L.land(sp_artists(spark, run), land, "spotify_artists")
+        L.land(sc_docs(spark, run), land, "soundcloud_top_tracks")
+        L.land(sc_artists(spark, run), land, "soundcloud_artists")
+    assert job.snapshot_of_run(RUN2) == "2024-01-15 11:00:00"
+    for run in (RUN1, RUN2):
+        job.load_run(spark, land, wh, run, "spotify")
+        job.load_run(spark, land, wh, run, "soundcloud")
+    job.load_run(spark, land, wh, RUN1, "spotify")  # rerun: idempotent
+    t = W.read_table(spark, wh, "tracks")
+    assert t.where("source = 'spotify'").count() == 6 and t.where("source = 'soundcloud'").count() == 6
+    with pytest.raises(RuntimeError):
+        job.load_run(spark, land, wh, "2030-01-01T00:00:00+00:00", "spotify")
+    gone = job.clean_snapshot(spark, wh, "2024-01-15 10:00:00", "spotify")
+    assert len(gone) == 3
+    assert W.read_table(spark, wh, "tracks").where("source = 'spotify'").count() == 3
+    gone_day = job.clean_snapshot(spark, wh, "2024-01-15", "soundcloud", day=True)
+    assert len(gone_day) == 6  # two snapshots x three tables
+    assert W.read_table(spark, wh, "tracks").where("source = 'soundcloud'").count() == 0
+    assert W.read_table(spark, wh, "artists").where("source = 'spotify'").count() == 3
