@@ -9,8 +9,6 @@ instead of nested documents).
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -790,11 +788,6 @@ def quality_required_fields(spark, d):
     return OP.null_counts(rows, OP.quality.REQUIRED_TRACK_FIELDS)
 
 
-@lru_cache(maxsize=None)
-def names() -> tuple[str, ...]:
-    return tuple(QUERIES)
-
-
 FLAGSHIP = "tracks_at_snapshot"
 
 

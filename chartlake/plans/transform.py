@@ -19,6 +19,7 @@ from chartlake.operators.nested import explode_fields
 from chartlake.operators.genres import genre_bridge
 from chartlake.schemas import UNKNOWN_ARTIST
 
+# The source tags the warehouse stores for the two chart sources.
 SPOTIFY, SOUNDCLOUD = "spotify", "soundcloud"
 
 TRACK_COLS = ["track_id", "name", "duration", "source", "release_date", "popularity",

@@ -56,6 +56,7 @@ SOUNDCLOUD_ARTISTS = _struct(
     ("type", S), ("data", T.ArrayType(L)), ("data_time", S),
 )
 
+# Names of the four raw landing collections.
 RAW = {
     "spotify_top_tracks": SPOTIFY_TOP_TRACKS,
     "spotify_artists": SPOTIFY_ARTISTS,

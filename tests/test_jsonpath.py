@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 from chartlake.functions import PathError, json_path
 from chartlake.functions.jsonpath import json_path_py
 
-# the reference's own unit-test shapes (values of our own)
+# the reference's unit-test shapes; names and expected values as listed in
+# FIXTURES.md section 1 (fixed values), the other fields are our own
 DATA1 = {"person": [{"name": "homie", "address": "x street"}, {"name": "bro", "address": "y road"}]}
 DATA2 = [{"object": "customer", "color": "red"}, {"object": "bat", "color": "black"}]
 DATA3 = [[{"name": "a"}, {"name": "b"}], [{"name": "b"}, {"name": "a"}], [{"name": "c"}, {"name": "c"}]]
