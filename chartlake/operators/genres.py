@@ -11,18 +11,23 @@ from chartlake.operators.dedupe import dedupe_latest
 
 
 def genre_bridge(tracks: DataFrame, artists_raw: DataFrame, along: Sequence[str] = (),
-                 artist_key: str = "id", genres_col: str = "genres") -> DataFrame:
+                 artist_key: str = "id", genres_col: str = "genres",
+                 pairs_unique: bool = False) -> DataFrame:
     """``(track_id, genre, *along)``: each track inherits its artists' genres.
 
     ``along`` are columns both sides share and must match on (e.g. the
     snapshot). Raw artists are deduplicated per key first (a retried fetch
     stores an artist twice), the track side is reduced to distinct
     ``(track, artist)`` pairs, and the result is distinct - so neither side's
-    duplicates fan out through the join.
+    duplicates fan out through the join. ``pairs_unique`` skips the pair
+    distinct (and its shuffle) when ``tracks`` is already unique on
+    ``(track_id, artist_id, *along)`` - the deduplicated transform output
+    and the warehouse table are, by their key.
     """
     along = list(along)
-    pairs = tracks.select("track_id", "artist_id", *along).where(
-        F.col("artist_id").isNotNull()).distinct()
+    pairs = tracks.select("track_id", "artist_id", *along).where(F.col("artist_id").isNotNull())
+    if not pairs_unique:
+        pairs = pairs.distinct()
     arts = dedupe_latest(artists_raw.select(F.col(artist_key).alias("artist_id"), genres_col, *along),
                          ["artist_id", *along], [F.size(genres_col).desc()])
     return (pairs.join(arts, ["artist_id", *along], "inner")

@@ -65,10 +65,14 @@ def spotify_artists(raw: DataFrame, snapshot_time=None) -> DataFrame:
     return dedupe_latest(arts, ["snapshot_time", "artist_id"], artist_order())
 
 
-def spotify_genres(tracks: DataFrame, raw_artists: DataFrame, snapshot_time=None) -> DataFrame:
+def spotify_genres(tracks: DataFrame, raw_artists: DataFrame, snapshot_time=None,
+                   tracks_unique: bool = True) -> DataFrame:
+    """``tracks`` is the transform's (or the warehouse's) tracks table, unique
+    on (snapshot_time, track_id, artist_id) by its key; pass
+    ``tracks_unique=False`` for any other input."""
     arts = raw_artists.select("id", "genres",
                               snapshot_of("data_time", snapshot_time).alias("snapshot_time"))
-    g = genre_bridge(tracks, arts, along=["snapshot_time"])
+    g = genre_bridge(tracks, arts, along=["snapshot_time"], pairs_unique=tracks_unique)
     return g.select("track_id", "genre", F.lit(SPOTIFY).alias("source"), "snapshot_time")
 
 
