@@ -221,3 +221,20 @@ def test_job_load_and_clean(spark, tmpdir_path):
     assert len(gone_day) == 6  # two snapshots x three tables
     assert W.read_table(spark, wh, "tracks").where("source = 'soundcloud'").count() == 0
     assert W.read_table(spark, wh, "artists").where("source = 'spotify'").count() == 3
+
+
+def test_job_quality_modes(spark, tmpdir_path):
+    from chartlake.plans import job
+    land = os.path.join(tmpdir_path, "land")
+    L.land(sp_docs(spark, RUN1), land, "spotify_top_tracks")
+    L.land(sp_artists(spark, RUN1), land, "spotify_artists")
+    # the sample run has one item whose added_at is junk -> release_date NULL
+    with pytest.raises(ValueError, match="constraint violations"):
+        job.load_run(spark, land, os.path.join(tmpdir_path, "wh1"), RUN1, "spotify", quality="fail")
+    assert not os.path.exists(os.path.join(tmpdir_path, "wh1", "tracks"))
+    wh = os.path.join(tmpdir_path, "wh2")
+    counts = job.load_run(spark, land, wh, RUN1, "spotify", quality="quarantine")
+    assert counts == {"artists": 0, "tracks": 1, "track_genres": 0}
+    assert W.read_table(spark, wh, "tracks").count() == 2
+    bad = spark.read.parquet(os.path.join(wh, "_rejected", "tracks"))
+    assert [(r.track_id, r.failed_rules) for r in bad.collect()] == [("t1", ["release_date_null"])]
