@@ -1,0 +1,3 @@
+"""Structured Streaming: incremental ingest of newly landed documents."""
+
+from chartlake.streaming.incremental import ingest, process_batch  # noqa: F401
