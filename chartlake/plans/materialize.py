@@ -76,10 +76,10 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
         todo = [c for c in BUILDERS if not _done(spark, L.collection_path(root, c))]
         if not todo:
             return root
-        # the joined order lines feed all four collections: compute them once.
-        # MEMORY_AND_DISK spills instead of failing; blocks lost with an
-        # executor are recomputed from the lineage.
-        lines = twin.chart_lines(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        # the joined, paged order lines feed all four collections: compute
+        # them once. MEMORY_AND_DISK spills instead of failing; blocks lost
+        # with an executor are recomputed from the lineage.
+        lines = twin.paged_lines(twin.chart_lines(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for coll in todo:
                 BUILDERS[coll](spark, sf_dir, lines).write.mode("overwrite").parquet(

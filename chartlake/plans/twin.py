@@ -54,31 +54,45 @@ def chart_lines(spark: SparkSession, sf_dir: str, keep_empty: bool = True) -> Da
     return o.join(lp, o.o_orderkey == lp.l_orderkey, how)
 
 
-def _paged_docs(lines: DataFrame, item) -> DataFrame:
-    """Group items into documents of at most PAGE_SIZE items, sorted.
-
-    Pages are numbered by ``row_number`` inside a window. A hot chart (one
-    order holding a third of all rows) must not be numbered by one task, so
-    an order with more than SALT_ROWS items is first split by a hash of the
-    item into ``ceil(n / SALT_ROWS)`` sub-groups, and pages are numbered
-    within each sub-group: every window partition holds about SALT_ROWS rows
-    at most. Orders below the threshold (the usual case) keep one sub-group,
-    so their pages are the plain ``row_number`` pages. The per-order counts
-    are a partial/final aggregate; the join back is on the order key, which
-    AQE's skew-join handling can split.
+def paged_lines(lines: DataFrame, order_key=None) -> DataFrame:
+    """Add the ``page`` of every item: documents hold at most PAGE_SIZE items.
+
+    Pages are numbered by ``row_number`` over a total order of the item
+    content (``order_key``, by default the Spotify item struct) inside a
+    window. A hot chart (one order holding a third of all rows) must not be
+    numbered by one task, so an order with more than SALT_ROWS items is first
+    split by a hash of the item into ``ceil(n / SALT_ROWS)`` sub-groups, and
+    pages are numbered within each sub-group: every window partition holds
+    about SALT_ROWS rows at most. Orders below the threshold (the usual case)
+    keep one sub-group, so their pages are the plain ``row_number`` pages. The
+    per-order counts are a partial/final aggregate; the join back is on the
+    order key, which AQE's skew-join handling can split. The page is computed
+    once and shared by every collection built from the same lines.
     """
+    key = spotify_item() if order_key is None else order_key
     has_item = F.col("l_orderkey").isNotNull()
-    with_item = lines.withColumn("__item", F.when(has_item, item))
-    sizes = with_item.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-    salted = (with_item.join(sizes, "o_orderkey")
+    keyed = lines.withColumn("__k", F.when(has_item, key))
+    sizes = keyed.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+    salted = (keyed.join(sizes, "o_orderkey")
               .withColumn("__salt", F.when(F.col("__n") <= SALT_ROWS, F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64("__item"), F.ceil(F.col("__n") / F.lit(SALT_ROWS))))))
-    w = Window.partitionBy("o_orderkey", "__salt").orderBy("__item")
+                  F.pmod(F.xxhash64("__k"), F.ceil(F.col("__n") / F.lit(SALT_ROWS))))))
+    w = Window.partitionBy("o_orderkey", "__salt").orderBy("__k")
     rn = F.row_number().over(w) - 1
-    ranked = salted.withColumn(
-        "page", (F.col("__salt") * F.lit(PAGES_PER_SALT) + F.floor(rn / F.lit(PAGE_SIZE))).cast("int"))
-    return ranked.groupBy("o_orderkey", "o_orderdate", "page").agg(
-        F.array_sort(F.collect_list("__item")).alias("items"))
+    return (salted.withColumn("page", (F.col("__salt") * F.lit(PAGES_PER_SALT)
+                                       + F.floor(rn / F.lit(PAGE_SIZE))).cast("int"))
+                  .drop("__k", "__n", "__salt"))
+
+
+def _docs(paged: DataFrame, item) -> DataFrame:
+    """One document per (order, page): its items, sorted by content."""
+    has_item = F.col("l_orderkey").isNotNull()
+    return paged.groupBy("o_orderkey", "o_orderdate", "page").agg(
+        F.array_sort(F.collect_list(F.when(has_item, item))).alias("items"))
+
+
+def _paged_docs(lines: DataFrame, item) -> DataFrame:
+    """Page ``lines`` by ``item`` and build the documents."""
+    return _docs(paged_lines(lines, item), item)
 
 
 def spotify_item():
@@ -102,8 +116,14 @@ def _lines(spark, sf_dir, lines, keep_empty):
     return lines if keep_empty else lines.where(F.col("l_orderkey").isNotNull())
 
 
+def _paged(spark, sf_dir, lines):
+    src = _lines(spark, sf_dir, lines, True)
+    return src if "page" in src.columns else paged_lines(src)
+
+
 def spotify_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    docs = _paged_docs(_lines(spark, sf_dir, lines, True), spotify_item())
+    """``lines`` may already carry ``page`` (shared paging); else it is added."""
+    docs = _docs(_paged(spark, sf_dir, lines), spotify_item())
     return docs.select(
         F.concat(F.lit("/charts/"), F.col("o_orderkey"), F.lit("/"), F.coalesce("page", F.lit(0))).alias("href"),
         F.lit(PAGE_SIZE).cast("bigint").alias("limit"),
@@ -158,7 +178,7 @@ def soundcloud_item():
 
 
 def soundcloud_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    docs = _paged_docs(_lines(spark, sf_dir, lines, True), soundcloud_item())
+    docs = _docs(_paged(spark, sf_dir, lines), soundcloud_item())
     return docs.select(
         F.lit("all-music").alias("genre"), F.lit("top").alias("kind"),
         run_stamp("o_orderdate").alias("last_updated"),
