@@ -131,3 +131,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, source: str | None = None
     if source is not None:
         df = df.where(F.col("source") == F.lit(source))
     return df
+
+
+def release(spark: SparkSession) -> list[str]:
+    """Remove the landing/warehouse twins this application built.
+
+    They are scoped to the application, so nothing another job reads is
+    touched. Returns the folders removed.
+    """
+    app = spark.sparkContext.applicationId
+    removed = []
+    with _LOCK:
+        for (sf_dir, app_id), fp in list(_FP.items()):
+            if app_id != app:
+                continue
+            path = os.path.join(checkpoint_dir(spark), "chartlake-twin", fp)
+            fs, p = _fs(spark, path)
+            if fs.exists(p):
+                fs.delete(p, True)
+                removed.append(path)
+            del _FP[(sf_dir, app_id)]
+    return removed

@@ -32,3 +32,15 @@ def test_unsalted_pages_are_sorted_runs(spark):
     pages = {r.page: [x.v for x in r.items] for r in docs.where("o_orderkey = 1").collect()}
     assert sorted(pages) == [0, 1, 2]
     assert pages[0] == list(range(100)) and pages[2] == list(range(200, 250))
+
+
+def test_release_removes_only_this_apps_twin(spark):
+    import os
+
+    from chartlake.plans import materialize as M
+    root = M.warehouse_root(spark, "/root/testdata/sf0.001")
+    assert os.path.exists(root.replace("file:", ""))
+    removed = M.release(spark)
+    assert any(r in root for r in removed) and not os.path.exists(root.replace("file:", ""))
+    # rebuilt on next use
+    assert M.table(spark, "/root/testdata/sf0.001", "tracks").count() > 0
