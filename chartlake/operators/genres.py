@@ -37,7 +37,8 @@ def genre_bridge(tracks: DataFrame, artists_raw: DataFrame, along: Sequence[str]
 
 
 def genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
-              along: Sequence[str] = ("snapshot_time", "source"), value=None) -> DataFrame:
+              along: Sequence[str] = ("snapshot_time", "source"), value=None,
+              distinct: bool = True) -> DataFrame:
     """Distinct ``(by, genre)`` through the tracks table (``by`` = track_id
     or artist_id); ``value`` restricts to one id (pushed below the join).
 
@@ -48,6 +49,8 @@ def genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
     partitioning (no further shuffle), and no duplicate on either side can
     multiply the output. For ``by='track_id'`` the tracks side is only an
     existence check (a semi-join). NULL ids and genres are not members.
+    ``distinct=False`` leaves repeats for a consumer that folds them anyway
+    (``genres_list``'s ``collect_set``), saving the distinct's shuffle.
     """
     keys = ["track_id", *along]
     g = track_genres
@@ -65,7 +68,7 @@ def genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
         hit = g.join(members, keys, "inner")
         out = (hit.select(F.explode("__members").alias(by), "__genres")
                   .select(by, F.explode("__genres").alias("genre")))
-    return out.distinct()
+    return out.distinct() if distinct else out
 
 
 def genres_list(pairs: DataFrame, by: str, sep: str | None = None) -> DataFrame:

@@ -419,7 +419,8 @@ SELECT artist_id, array_to_string(list_sort(list_distinct(list(genre))), ',') AS
 GROUP BY artist_id""")
 def genres_list_by_artist(spark, d):
     tr, _, ge = wh(spark, d, transform.SPOTIFY)
-    return OP.genres_list(OP.genres_of(ge, tr, by="artist_id"), "artist_id", sep=",")
+    # collect_set folds repeats, so the pairs need no distinct of their own
+    return OP.genres_list(OP.genres_of(ge, tr, by="artist_id", distinct=False), "artist_id", sep=",")
 
 
 @register("distinct_genres", _with(SP_TRACKS) + "\nSELECT DISTINCT genre FROM sp_genres")
