@@ -238,3 +238,15 @@ def test_job_quality_modes(spark, tmpdir_path):
     assert W.read_table(spark, wh, "tracks").count() == 2
     bad = spark.read.parquet(os.path.join(wh, "_rejected", "tracks"))
     assert [(r.track_id, r.failed_rules) for r in bad.collect()] == [("t1", ["release_date_null"])]
+
+
+def test_incremental_ingest_soundcloud(spark, tmpdir_path):
+    land, wh, ck = (os.path.join(tmpdir_path, x) for x in ("land", "wh", "ck"))
+    L.land(sc_artists(spark, RUN1), land, "soundcloud_artists", partition_by_run=False)
+    L.land(sc_docs(spark, RUN1), land, "soundcloud_top_tracks", partition_by_run=False)
+    ingest(spark, land, wh, "soundcloud", checkpoint=ck).awaitTermination()
+    assert rows(W.read_table(spark, wh, "tracks"), "track_id", "artist_id") == [
+        ("1", "7"), ("2", "No Artist"), ("3", "0")]
+    # the sentinel document is not an artist; the unknown member is
+    assert rows(W.read_table(spark, wh, "artists"), "artist_id") == [("0",), ("7",), ("No Artist",)]
+    assert rows(W.read_table(spark, wh, "track_genres"), "track_id", "genre") == [("1", "Pop")]
