@@ -94,3 +94,10 @@ def test_same_day_range(spark):
     df = spark.createDataFrame([("2024-01-15 00:00:00",), ("2024-01-15 23:59:59",), ("2024-01-16 00:00:00",)],
                                "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
     assert df.where(CF.same_day("t", "2024-01-15")).count() == 2
+
+
+def test_build_url_null_inputs(spark):
+    df = spark.createDataFrame([("http://a.example/x", None), (None, {"k": "v"})],
+                               "u string, m map<string,string>")
+    got = [r.r for r in df.select(CF.build_url("u", F.col("m")).alias("r")).collect()]
+    assert got == ["http://a.example/x", None]
