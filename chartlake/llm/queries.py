@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, sharding
-from .common import table, unsigned_crc32
+from . import decontaminate, gam, langid, line_dedup, packing, sharding, toxicity
+from .common import held_out, table, unsigned_crc32
 
 SHARDS = 8
 
@@ -23,6 +23,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; a quarter of the ids is held out of learning."""
+    docs = table(spark, sf_dir, "documents")
+    held = held_out(F.col("doc_id"), 4, 2)
+    out = langid.identify(docs.select("doc_id", "lang", "text"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines."""
     out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), "source", "text", ["doc_id"])
@@ -38,10 +46,28 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; labels of a quarter of the ids are held out."""
+    held = held_out(F.col("doc_id"), 4, 2)
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; labels of a third of the ids are held out."""
+    held = held_out(F.col("doc_id"), 3, 1)
+    out = gam.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens packed into sequences of 2048."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op6_line_dedup, op7_decontaminate, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op3_langid, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
+    op10_packing)}
 ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL}
