@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, jaccard_join, langid, line_dedup, packing, sharding, toxicity
+from . import decontaminate, gam, jaccard_join, kneser_ney, langid, line_dedup, packing, sharding, toxicity
 from .common import held_out, table, unsigned_crc32
 
 SHARDS = 8
@@ -31,6 +31,14 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability; a seventh of the ids is held out of counting."""
+    held = held_out(F.col("doc_id"), 7, 2)
+    out = kneser_ney.score(table(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of 4-word shingle similarity 0.85 or more."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
@@ -73,6 +81,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op3_langid, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
+    op1_sharding, op3_langid, op4_kneser_ney, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
     op10_packing)}
 ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL}
