@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, jaccard_join, kneser_ney, langid, line_dedup, packing, sharding, toxicity
+from . import ann, decontaminate, gam, jaccard_join, kneser_ney, langid, line_dedup, packing, sharding, toxicity
 from .common import held_out, table, unsigned_crc32
 
 SHARDS = 8
@@ -23,6 +23,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; a quarter of the ids is held out of learning."""
     docs = table(spark, sf_dir, "documents")
@@ -81,6 +86,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op3_langid, op4_kneser_ney, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
+    op1_sharding, op2_ann, op3_langid, op4_kneser_ney, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
     op10_packing)}
 ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL}
