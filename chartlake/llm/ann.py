@@ -112,8 +112,11 @@ def build(df: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, floa
 
 
 def nearest_in(low: np.ndarray, high: np.ndarray, starts: np.ndarray, v: np.ndarray, queries: np.ndarray,
-               points: np.ndarray, top: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and places of the best k of ``v`` for each query, -inf and -1 where there are fewer."""
+               points: np.ndarray, first: np.ndarray, top: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and places of the best k of ``v`` for each query, -inf and -1 where there are fewer.
+
+    ``first``: the smallest id of each vector.
+    """
     limit = chi_square_at(CERTAINTY, DIMENSIONS)
     gap = np.zeros((len(queries), len(low)))
     for j in range(points.shape[1]):
@@ -140,6 +143,9 @@ def nearest_in(low: np.ndarray, high: np.ndarray, starts: np.ndarray, v: np.ndar
             scores = np.concatenate([best[q], queries[q] @ v[at].T], axis=1)
             places = np.concatenate([place[q], np.broadcast_to(at, (len(q), len(at)))], axis=1)
             keep = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+            last = np.take_along_axis(scores, keep, 1).min(axis=1)
+            for i in np.flatnonzero((scores >= last[:, None]).sum(axis=1) > k):  # ties go to the smaller first id
+                keep[i] = np.lexsort((first[places[i]], -scores[i]))[:k]
             best[q], place[q] = np.take_along_axis(scores, keep, 1), np.take_along_axis(places, keep, 1)
     return best, place
 
@@ -164,7 +170,7 @@ def search(index: DataFrame, top: float, dim: int, parts: int, queries: DataFram
                          for c in ("low", "high"))
             q = right.column("q").combine_chunks().flatten().to_numpy().reshape(-1, dim)
             points = np.column_stack([q, np.zeros(len(q))]) @ directions(dim + 1)
-            _, place = nearest_in(low, high, starts, v, q, points, top, k + 1)
+            _, place = nearest_in(low, high, starts, v, q, points, np.array([x[0] for x in ids]), top, k + 1)
             for i, query in enumerate(right.column("id").to_pylist()):
                 found = place[i][place[i] >= 0]
                 for at, score in zip(found, (q[i] * v[found]).sum(axis=1)):
