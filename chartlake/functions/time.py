@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A text that begins with a whole date, alone or followed by a time.
+DATED = r"^\s*\d{4}-\d{2}-\d{2}([T ].*)?$"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -13,11 +17,13 @@ def _c(c) -> Column:
 def parse_iso(text) -> Column:
     """ISO-8601 text -> ``timestamp_ntz`` (UTC wall time); NULL on junk.
 
-    Accepts ``...Z``, ``...+hh:mm`` offsets and date-only text. ANSI-safe:
-    ``try_to_timestamp`` never raises. Offsets are converted to the (UTC)
-    session zone before dropping the zone.
+    Accepts ``...Z``, ``...+hh:mm`` offsets and date-only text, but always a
+    full date first: a time alone would take the day the query runs on.
+    ANSI-safe: ``try_to_timestamp`` never raises. Offsets are converted to the
+    (UTC) session zone before dropping the zone.
     """
-    return F.try_to_timestamp(_c(text)).cast("timestamp_ntz")
+    t = _c(text).cast("string")
+    return F.when(t.rlike(DATED), F.try_to_timestamp(t)).cast("timestamp_ntz")
 
 
 def coalesce_timestamp(*texts) -> Column:
@@ -63,4 +69,4 @@ def iso_text(ts, with_zone: bool = True) -> Column:
 
 def is_iso_datetime(text) -> Column:
     """Validity flag: the text parses as an ISO date or date-time."""
-    return F.try_to_timestamp(_c(text)).isNotNull()
+    return parse_iso(text).isNotNull()

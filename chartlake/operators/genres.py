@@ -30,7 +30,12 @@ def genre_bridge(tracks: DataFrame, artists_raw: DataFrame, along: Sequence[str]
         pairs = pairs.distinct()
     arts = dedupe_latest(artists_raw.select(F.col(artist_key).alias("artist_id"), genres_col, *along),
                          ["artist_id", *along], [F.size(genres_col).desc()])
-    return (pairs.join(arts, ["artist_id", *along], "inner")
+    # null-safe keys: the join shuffles the folded artists once more, by its
+    # own keys, and so AQE can split the tracks of a very frequent artist
+    on = ["artist_id", *along]
+    arts = arts.select(*[F.col(c).alias(f"__a_{c}") for c in on], genres_col)
+    same = [F.col(c).eqNullSafe(F.col(f"__a_{c}")) for c in on]
+    return (pairs.join(arts, same, "inner")
                  .select("track_id", F.explode(genres_col).alias("genre"), *along)
                  .where(F.col("genre").isNotNull())
                  .distinct())
@@ -42,32 +47,25 @@ def genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
     """Distinct ``(by, genre)`` through the tracks table (``by`` = track_id
     or artist_id); ``value`` restricts to one id (pushed below the join).
 
-    Both sides are first folded to one row per join key ``(track_id,
-    *along)`` - the genre set and the artist set of that track in that
-    snapshot (``collect_set``: de-duplicated map-side, bounded by distinct
-    values). The join then matches keys one-to-one and reuses that
-    partitioning (no further shuffle), and no duplicate on either side can
-    multiply the output. For ``by='track_id'`` the tracks side is only an
-    existence check (a semi-join). NULL ids and genres are not members.
-    ``distinct=False`` leaves repeats for a consumer that folds them anyway
-    (``genres_list``'s ``collect_set``), saving the distinct's shuffle.
+    For ``by='track_id'`` the tracks side is only an existence check (a
+    semi-join). For ``by='artist_id'`` both tables, unique by their keys, are
+    joined on the track and folded by one distinct; no member list is
+    gathered, so a track with any number of artists is as good as another.
+    NULL ids and genres are not members. ``distinct=False`` leaves repeats for
+    a consumer that folds them anyway (``genres_list``'s ``collect_set``).
     """
     keys = ["track_id", *along]
-    g = track_genres
+    g = track_genres.where(F.col("genre").isNotNull()).select(*keys, "genre")
     t = tracks
     if value is not None:
         t = t.where(F.col(by) == F.lit(value))
         if by == "track_id":
             g = g.where(F.col("track_id") == F.lit(value))
-    g = g.groupBy(*keys).agg(F.collect_set("genre").alias("__genres"))
     if by == "track_id":
-        hit = g.join(t.select(*keys).distinct(), keys, "left_semi")
-        out = hit.select("track_id", F.explode("__genres").alias("genre"))
+        out = g.join(t.select(*keys), keys, "left_semi").select("track_id", "genre")
     else:
-        members = t.groupBy(*keys).agg(F.collect_set(by).alias("__members"))
-        hit = g.join(members, keys, "inner")
-        out = (hit.select(F.explode("__members").alias(by), "__genres")
-                  .select(by, F.explode("__genres").alias("genre")))
+        members = t.where(F.col(by).isNotNull()).select(*keys, by)
+        out = g.join(members, keys, "inner").select(by, "genre")
     return out.distinct() if distinct else out
 
 

@@ -56,7 +56,8 @@ def fk_orphans(child: DataFrame, parent: DataFrame, on: Sequence[str] | dict) ->
         pairs = list(on.items())
     else:
         pairs = [(k, k) for k in on]
-    pk = parent.select(*[F.col(p).alias(f"__p_{i}") for i, (_, p) in enumerate(pairs)]).distinct()
+    # no distinct: repeated parent keys don't matter to an anti-join, and AQE can split it
+    pk = parent.select(*[F.col(p).alias(f"__p_{i}") for i, (_, p) in enumerate(pairs)])
     cond = None
     notnull = None
     for i, (c, _) in enumerate(pairs):

@@ -21,6 +21,8 @@ from chartlake.schemas import UNKNOWN_ARTIST
 
 # The source tags the warehouse stores for the two chart sources.
 SPOTIFY, SOUNDCLOUD = "spotify", "soundcloud"
+# Fixed value: the type of a missing-ids report among the artist documents.
+MISSING = "missing_artists"
 
 TRACK_COLS = ["track_id", "name", "duration", "source", "release_date", "popularity",
               "artist_id", "snapshot_time"]
@@ -122,7 +124,7 @@ def soundcloud_artists(raw: DataFrame, raw_tracks: DataFrame | None = None,
     artists key holds. That check reads the raw documents (an explode and a
     distinct over snapshots), not the deduplicated tracks.
     """
-    docs = raw.where(F.col("type").isNull())
+    docs = raw.where(~F.col("type").eqNullSafe(F.lit(MISSING)))
     arts = docs.select(
         unknown_member("id").alias("artist_id"), F.col("full_name").alias("name"),
         F.lit(SOUNDCLOUD).alias("source"), F.col("followers_count").alias("total_followers"),
@@ -143,7 +145,7 @@ def soundcloud_artists(raw: DataFrame, raw_tracks: DataFrame | None = None,
 
 def soundcloud_missing(raw: DataFrame) -> DataFrame:
     """Ids reported missing by the fetch step: ``(id, data_time)`` rows."""
-    return (raw.where(F.col("type") == "missing_artists")
+    return (raw.where(F.col("type") == MISSING)
                .select(F.explode("data").alias("id"), "data_time"))
 
 

@@ -63,8 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is ``spark.checkpoint.dir`` as the operator configured
     it (a shared file system); it is read from the session, never replaced.
-    Only when it is unset (local tests) do we create one under the local temp
-    folder, once per application.
+    Only when it is unset and the master is local (tests) do we create one
+    under the local temp folder, once per application; on a cluster that
+    folder would be another one on every machine, so there it is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -74,6 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             d = None
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         app = sc.applicationId
         d = _LOCAL_BASE.get(app) or tempfile.mkdtemp(prefix="chartlake-ckpt-")
         _LOCAL_BASE[app] = d

@@ -3,7 +3,8 @@
 On disk: ``<root>/<collection>/`` holding parquet (default) or JSON-lines
 files; production landings are partitioned by ``data_time`` so a run filter
 is a partition filter. Reads always use the declared schema (no inference),
-so a type drift becomes NULL / ``_corrupt_record`` instead of a new column.
+so a new field is ignored; a JSON document that doesn't fit the schema is kept
+apart (:func:`corrupt`) instead of becoming a document of NULLs.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartlake.schemas import RAW
 
+CORRUPT = "_corrupt_record"
+
 
 def collection_path(root: str, collection: str) -> str:
     return os.path.join(root, collection)
@@ -28,11 +32,34 @@ def read_raw(spark: SparkSession, root: str, collection: str, runtime: str | Non
     partitioned by ``data_time`` Catalyst turns it into a partition filter,
     otherwise into a pushed parquet filter.
     """
+    df = _scan(spark, root, collection, runtime, fmt, schema)
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if fmt == "json" else df
+
+
+def corrupt(spark: SparkSession, root: str, collection: str, runtime: str | None = None,
+            schema=None) -> DataFrame:
+    """``(data_time, _corrupt_record)`` of the JSON documents that don't fit the schema."""
+    df = _scan(spark, root, collection, runtime, "json", schema)
+    return df.where(F.col(CORRUPT).isNotNull()).select("data_time", CORRUPT)
+
+
+def _scan(spark: SparkSession, root: str, collection: str, runtime: str | None, fmt: str,
+          schema) -> DataFrame:
     schema = schema or RAW[collection]
-    reader = spark.read.schema(schema).format(fmt)
+    path = collection_path(root, collection)
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-    df = reader.load(collection_path(root, collection))
+        # one document a line, parsed with the text kept where it doesn't fit
+        text = spark.read.text(path)
+        whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        doc = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        df = text.where(F.trim("value") != "").withColumn("doc", doc)
+        run = F.col("doc.data_time")
+        if "data_time" in text.columns:  # a landing partitioned by run
+            run = F.coalesce(F.col("data_time").cast("string"), run)
+        df = df.select(*[run.alias("data_time") if f == "data_time" else F.col(f"doc.{f}")
+                         for f in whole.fieldNames()])
+    else:
+        df = spark.read.schema(schema).format(fmt).load(path)
     if runtime is not None:
         df = df.where(F.col("data_time") == F.lit(runtime))
     return df
@@ -51,21 +78,29 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 def land(df: DataFrame, root: str, collection: str, runtime: str | None = None,
          fmt: str = "parquet", partition_by_run: bool = True,
-         max_records_per_file: int | None = None) -> None:
-    """Append documents to the landing zone, stamped with their run.
+         max_records_per_file: int | None = None, mode: str | None = None) -> None:
+    """Write documents to the landing zone, stamped with their run.
 
     One distributed write (no driver-side batching); with
-    ``partition_by_run`` each run lands in its own ``data_time=...`` folder,
-    and re-landing a run replaces only that folder (dynamic overwrite), so a
-    retried fetch does not store the run twice.
+    ``partition_by_run`` each run lands in its own ``data_time=...`` folder.
+    ``mode="append"`` adds to what a run has landed so far (batches, late
+    pages; a document landed twice is folded by the transforms' keys).
+    ``mode="replace"`` is for a run fetched again as a whole: the folders of
+    the runs in ``df`` are replaced, all others stay, whatever the session's
+    overwrite setting. The default is to replace where runs have folders.
     """
+    mode = mode or ("replace" if partition_by_run else "append")
+    if mode not in ("append", "replace") or (mode == "replace" and not partition_by_run):
+        raise ValueError("mode is append, or replace for a landing partitioned by run")
     if runtime is not None:
         df = df.withColumn("data_time", F.lit(runtime))
     w = df.write.format(fmt)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     if partition_by_run:
-        w = w.partitionBy("data_time").mode("overwrite")
+        w = w.partitionBy("data_time")
+    if mode == "replace":
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         w = w.mode("append")
     w.save(collection_path(root, collection))

@@ -1,0 +1,209 @@
+"""However a run's documents arrive, the warehouse ends as after one load of all of them."""
+import os
+import warnings
+
+import pytest
+from pyspark.sql import functions as F
+
+from chartlake import schemas
+from chartlake.functions.time import is_iso_datetime, parse_iso
+from chartlake.plans import job, reads
+from chartlake.sources import landing as L
+from chartlake.sources import warehouse as W
+from chartlake.streaming.incremental import ingest
+from conftest import rows
+
+RUN, LATER, NEXT = (f"2024-01-15T{t}+00:00" for t in ("10:00:00", "10:20:00", "12:00:00"))
+
+
+def chart(spark, run, *tracks):
+    """One chart document with tracks (id, artist id)."""
+    items = [{"added_at": "2024-01-01T00:00:00Z",
+              "track": {"id": t, "name": t, "duration_ms": 1, "popularity": 1,
+                        "artists": [{"id": a, "href": "x"}]}} for t, a in tracks]
+    return spark.createDataFrame([{"href": "h", "items": items, "data_time": run}], schemas.SPOTIFY_TOP_TRACKS)
+
+
+def artists(spark, run, *ids):
+    return spark.createDataFrame(
+        [{"id": a, "name": a, "followers": {"total": 1}, "genres": [f"g{a}"], "data_time": run} for a in ids],
+        schemas.SPOTIFY_ARTISTS)
+
+
+def content(spark, root):
+    return {t: rows(W.read_table(spark, root, t)) for t in W.WRITE_ORDER}
+
+
+@pytest.fixture()
+def land(spark, tmpdir_path):
+    def put(charts, arts, name="landing", **how):
+        root = os.path.join(tmpdir_path, name)
+        for df in charts:
+            L.land(df, root, "spotify_top_tracks", mode="append", **how)
+        for df in arts:
+            L.land(df, root, "spotify_artists", mode="append", **how)
+        return root
+    return put
+
+
+@pytest.fixture()
+def whole(spark, tmpdir_path, land):
+    """Everything landed at once and loaded once."""
+    root = land([chart(spark, RUN, ("T1", "A1"), ("T2", "A2")), chart(spark, LATER, ("T3", "A1"))],
+                [artists(spark, RUN, "A1", "A2"), artists(spark, LATER, "A1")], "at-once")
+    out = os.path.join(tmpdir_path, "wh-at-once")
+    job.load_run(spark, root, out, RUN, "spotify")
+    got = content(spark, out)
+    assert len(got["tracks"]) == 3 and len(got["artists"]) == 2 and len(got["track_genres"]) == 3
+    return got
+
+
+def stream(spark, root, out, ckpt, **how):
+    ingest(spark, root, out, "spotify", checkpoint=ckpt, **how).awaitTermination()
+
+
+def test_split_files_one_per_trigger(spark, tmpdir_path, land, whole):
+    root = land([chart(spark, RUN, ("T1", "A1")), chart(spark, RUN, ("T2", "A2")), chart(spark, LATER, ("T3", "A1"))],
+                [artists(spark, RUN, "A1"), artists(spark, RUN, "A2"), artists(spark, LATER, "A1")],
+                partition_by_run=False)
+    out = os.path.join(tmpdir_path, "wh")
+    stream(spark, root, out, os.path.join(tmpdir_path, "c"), max_files_per_trigger=1)
+    assert content(spark, out) == whole
+
+
+def test_late_page_and_late_artists(spark, tmpdir_path, land, whole):
+    out, ckpt = os.path.join(tmpdir_path, "wh"), os.path.join(tmpdir_path, "c")
+    how = {"partition_by_run": False}
+    root = land([chart(spark, RUN, ("T1", "A1"))], [artists(spark, RUN, "A1")], **how)
+    stream(spark, root, out, ckpt)
+    land([chart(spark, RUN, ("T2", "A2")), chart(spark, LATER, ("T3", "A1"))], [], **how)
+    stream(spark, root, out, ckpt)
+    assert len(content(spark, out)["artists"]) == 1
+    land([], [artists(spark, RUN, "A2"), artists(spark, LATER, "A1")], **how)  # artist files alone trigger
+    stream(spark, root, out, ckpt)
+    assert content(spark, out) == whole
+
+
+def test_two_runs_of_one_hour_and_landing_in_a_plain_session(spark, tmpdir_path, land, whole):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        root = land([chart(spark, RUN, ("T1", "A1"))], [artists(spark, RUN, "A1")])
+        land([chart(spark, RUN, ("T2", "A2"))], [artists(spark, RUN, "A2")])
+        L.land(chart(spark, LATER, ("T9", "A1")), root, "spotify_top_tracks")
+        L.land(chart(spark, LATER, ("T3", "A1")), root, "spotify_top_tracks")  # fetched again: replaced
+        L.land(artists(spark, LATER, "A1"), root, "spotify_artists")
+        out = os.path.join(tmpdir_path, "wh")
+        for run in (RUN, LATER, RUN):
+            job.load_run(spark, root, out, run, "spotify")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert content(spark, out) == whole
+
+
+def test_empty_rerun_leaves_nothing_stale(spark, tmpdir_path, land):
+    root = land([chart(spark, RUN, ("T1", "A1")), chart(spark, NEXT, ("T1", "A1"))],
+                [artists(spark, RUN, "A1"), artists(spark, NEXT, "A1")])
+    out = os.path.join(tmpdir_path, "wh")
+    for run in (RUN, NEXT):
+        job.load_run(spark, root, out, run, "spotify")
+    L.land(artists(spark, RUN, "A7"), root, "spotify_artists")  # the run's artists again, others now
+    job.load_run(spark, root, out, RUN, "spotify")
+    got = W.read_table(spark, out, "track_genres")
+    assert [str(r.snapshot_time)[:13] for r in got.collect()] == ["2024-01-15 12"]
+    assert W.read_table(spark, out, "tracks").count() == 2
+
+
+def test_quarantine_reaches_children_and_reruns(spark, tmpdir_path, land):
+    long = "T" * 40
+    root = land([chart(spark, RUN, ("T1", "A1"), (long, "A1"), ("T2", "gone"))], [artists(spark, RUN, "A1")])
+    out = os.path.join(tmpdir_path, "wh")
+    for _ in range(2):
+        counts = job.load_run(spark, root, out, RUN, "spotify", quality="quarantine")
+        assert counts == {"artists": 0, "tracks": 2, "track_genres": 1}
+    got = content(spark, out)
+    assert [r[0] for r in got["tracks"]] == ["T1"] and [r[0] for r in got["track_genres"]] == ["T1"]
+    bad = spark.read.parquet(os.path.join(out, "_rejected", "tracks"))
+    assert rows(bad.select("track_id", F.array_join("failed_rules", ","))) == [
+        ("T2", "artist_missing"), (long, "track_id_too_long")]
+    with pytest.raises(ValueError):
+        job.load_run(spark, root, os.path.join(tmpdir_path, "wh2"), RUN, "spotify", quality="fail")
+    assert not os.path.exists(os.path.join(tmpdir_path, "wh2", "tracks"))
+
+
+def test_torn_json_is_quarantined(spark, tmpdir_path):
+    root, out = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "wh")
+    L.land(chart(spark, RUN, ("T1", "A1")), root, "spotify_top_tracks", fmt="json")
+    L.land(artists(spark, RUN, "A1"), root, "spotify_artists", fmt="json")
+    folder = next(os.path.join(root, "spotify_top_tracks", d) for d in os.listdir(
+        os.path.join(root, "spotify_top_tracks")) if d.startswith("data_time"))
+    with open(os.path.join(folder, "more.json"), "w") as f:
+        f.write('{"items": [{"added_at": "2024-01-01T00:00:00Z", "track": {"id"\n')
+    counts = job.load_run(spark, root, out, RUN, "spotify", fmt="json", quality="quarantine")
+    assert counts["spotify_top_tracks"] == 1 and counts["tracks"] == 0
+    assert spark.read.parquet(os.path.join(out, "_rejected", "spotify_top_tracks")).count() == 1
+    assert len(content(spark, out)["tracks"]) == 1
+
+
+def test_clean_snapshot_takes_run_stamps_and_tells_when_nothing_matched(spark, tmpdir_path, land):
+    root, out = land([chart(spark, RUN, ("T1", "A1"))], [artists(spark, RUN, "A1")]), os.path.join(tmpdir_path, "wh")
+    job.load_run(spark, root, out, RUN, "spotify")
+    os.makedirs(os.path.join(out, "tracks", "source=spotify", "snapshot_time=__HIVE_DEFAULT_PARTITION__"))
+    with pytest.warns(UserWarning, match="nothing removed"):
+        assert job.clean_snapshot(spark, out, "2024-01-16", "spotify", day=True) == []
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert len(job.clean_snapshot(spark, out, "2024-01-15T17:10:00+07:00", "spotify")) == 3
+
+
+def test_rows_without_snapshot_and_drifted_schemas_fail(spark, tmpdir_path):
+    df = spark.createDataFrame([("T1", "g", "spotify")], "track_id string, genre string, source string")
+    with pytest.raises(ValueError, match="snapshot_time: missing"):
+        W.write_snapshot(df, tmpdir_path, "track_genres")
+    with pytest.raises(Exception, match="no snapshot time"):
+        W.write_snapshot(df.withColumn("snapshot_time", F.lit(None).cast("timestamp_ntz")), tmpdir_path, "track_genres")
+    timed = df.withColumn("snapshot_time", F.expr("timestamp_ntz'2024-01-15 10:00:00'"))
+    with pytest.raises(ValueError, match="genre: array"):
+        W.write_snapshot(timed.withColumn("genre", F.array("genre")), tmpdir_path, "track_genres")
+    for genre in ("g", "h"):
+        W.write_snapshot(timed.withColumn("genre", F.lit(genre)), tmpdir_path, "track_genres", mode="append")
+    assert W.read_table(spark, tmpdir_path, "track_genres").count() == 2
+
+
+def test_a_rewrite_cut_short_is_finished(spark, tmpdir_path, monkeypatch):
+    df = spark.sql("SELECT 'T1' AS track_id, 'g' AS genre, s AS source, timestamp_ntz'2024-01-15 10:00:00' "
+                   "AS snapshot_time FROM VALUES ('a'), ('b') t(s)")
+    W.write_snapshot(df, tmpdir_path, "track_genres")
+    finish = W.finish_rewrite
+    calls = []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return finish(*args)
+
+    monkeypatch.setattr(W, "finish_rewrite", dies)
+    with pytest.raises(RuntimeError):
+        W.rewrite_table(spark, tmpdir_path, "track_genres", lambda t: t.where("source = 'a'"))
+    monkeypatch.setattr(W, "finish_rewrite", finish)
+    stage = spark.read.parquet(W._note_path(tmpdir_path, "track_genres")).first().stage
+    assert finish(spark, tmpdir_path, "track_genres")
+    assert rows(W.read_table(spark, tmpdir_path, "track_genres"), "source") == [("a",)]
+    assert not os.path.exists(stage) and not finish(spark, tmpdir_path, "track_genres")
+
+
+def test_times_need_a_date_and_keep_their_offset(spark, tmpdir_path, land):
+    texts = ["12:30", "T12:30", "2024", "2024-1", "2024-01-15", "2024-01-15T10:00:00+07:00", "junk", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(is_iso_datetime("t")).collect()] == [False] * 4 + [True] * 2 + [False] * 2
+    assert str(df.select(parse_iso("t")).collect()[5][0]) == "2024-01-15 03:00:00"
+    root, out = land([chart(spark, RUN, ("T1", "A1"))], [artists(spark, RUN, "A1")]), os.path.join(tmpdir_path, "wh")
+    job.load_run(spark, root, out, RUN, "spotify")
+    tracks = W.read_table(spark, out, "tracks")
+    assert reads.tracks_at(tracks, chart_time="2024-01-15T17:00:00+07:00").count() == 1
+
+
+def test_reads_return_everything_by_default(spark):
+    g = spark.range(80).selectExpr("cast(id as string) AS genre")
+    assert reads.genres(g).count() == 80 and reads.genres(g, limit=50).count() == 50

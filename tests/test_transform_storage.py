@@ -116,7 +116,9 @@ def test_json_landing_with_corrupt_rows(spark, tmpdir_path):
     df = L.read_raw(spark, tmpdir_path, "spotify_artists", fmt="json")
     got = rows(df, "id", "followers")
     assert ("A1", (3,)) in [(r[0], tuple(r[1]) if r[1] else None) for r in got]
-    assert df.count() == 3
+    assert df.count() == 1
+    torn = rows(L.corrupt(spark, tmpdir_path, "spotify_artists"), "_corrupt_record")
+    assert len(torn) == 2 and ("not json",) in torn
 
 
 def test_snapshot_load_idempotent_and_delete(spark, tmpdir_path):
