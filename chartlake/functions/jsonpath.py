@@ -117,35 +117,3 @@ def json_path_df(df, col: str, path: str) -> Column:
     """Convenience: compile a path against ``df[col]`` using its schema."""
     return json_path(df[col], path, df.schema[col].dataType)
 
-
-def json_path_py(path: str, data):
-    """Plain-Python twin of the compiled semantics (used by property tests)."""
-    steps = _steps(path)
-    return _py(steps, data)
-
-
-def _py(steps, data):
-    if not steps:
-        return data
-    step, rest = steps[0], steps[1:]
-    m = _BRACKET.match(step)
-    if isinstance(data, list):
-        if m is None:
-            raise PathError("Not a valid path")
-        inner = m.group(1)
-        if inner == "*":
-            return [_py(rest, x) for x in data]
-        sm = _SLICE.match(inner)
-        if sm:
-            lo = int(sm.group(1)) if sm.group(1) else 0
-            hi = int(sm.group(2)) if sm.group(2) else len(data)
-            return [_py(rest, x) for x in data[lo:hi]]
-        if not inner.isdigit():
-            raise PathError("Not a valid path")
-        i = int(inner)
-        return _py(rest, data[i]) if i < len(data) else None
-    if isinstance(data, dict):
-        if m is not None:
-            return None
-        return _py(rest, data.get(step))
-    return None

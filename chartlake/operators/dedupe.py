@@ -51,7 +51,3 @@ def _orderable(df: DataFrame, c: str) -> bool:
     from pyspark.sql import types as T
     return not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))
 
-
-def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Arbitrary survivor (plain ``dropDuplicates``), for parity checks only."""
-    return df.dropDuplicates(list(keys))

@@ -26,12 +26,14 @@ def request_frontier(df: DataFrame, id_col, template: str, alias: str = "id") ->
 
 
 def missing_ids(requested: DataFrame, fetched: DataFrame, key: str,
-                fetched_key: str | None = None) -> DataFrame:
-    """Requested ids that no fetched document carries (set difference)."""
+                fetched_key: str | None = None, run: list[str] | None = None) -> DataFrame:
+    """Requested ids that no fetched document carries (set difference); with
+    ``run`` columns on both sides, within each run."""
+    run = run or []
     fk = fetched_key or key
-    req = requested.select(F.col(key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    got = fetched.select(F.col(fk).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return req.join(got, [key], "left_anti")
+    req = requested.select(*run, F.col(key).alias(key)).where(F.col(key).isNotNull())
+    got = fetched.select(*run, F.col(fk).alias(key)).where(F.col(key).isNotNull())
+    return req.join(got, [*run, key], "left_anti").distinct()
 
 
 def missing_report(missing: DataFrame, key: str, run_col: str, kind: str = "missing_artists") -> DataFrame:

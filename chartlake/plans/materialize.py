@@ -15,7 +15,6 @@ import hashlib
 import os
 import threading
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +31,8 @@ BUILDERS = {
     "soundcloud_top_tracks": twin.soundcloud_top_tracks,
     "soundcloud_artists": twin.soundcloud_artists,
 }
-_FP: dict = {}
+#: What this application built, for release().
+_FP: dict[tuple[str, str], set[str]] = {}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -40,10 +40,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Hash of input paths, sizes and modification times (listing only)."""
-    key = (sf_dir, spark.sparkContext.applicationId)
-    if key in _FP:
-        return _FP[key]
+    """Hash of input paths, sizes and modification times (listing only), taken
+    anew at every call: a changed input has another fingerprint."""
     # scoped to the application: each session builds (and reports) its own
     h = hashlib.sha1(f"{sf_dir}|{spark.sparkContext.applicationId}".encode())
     for t in INPUTS:
@@ -51,8 +49,9 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
         st = fs.getFileStatus(p)
         size = fs.getContentSummary(p).getLength() if st.isDirectory() else st.getLen()
         h.update(f"{t}:{size}:{st.getModificationTime()}".encode())
-    _FP[key] = h.hexdigest()[:16]
-    return _FP[key]
+    fp = h.hexdigest()[:16]
+    _FP.setdefault((sf_dir, spark.sparkContext.applicationId), set()).add(fp)
+    return fp
 
 
 def _root(spark: SparkSession, sf_dir: str) -> str:
@@ -76,16 +75,15 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
         todo = [c for c in BUILDERS if not _done(spark, L.collection_path(root, c))]
         if not todo:
             return root
-        # the joined, paged order lines feed all four collections: compute
-        # them once. MEMORY_AND_DISK spills instead of failing; blocks lost
-        # with an executor are recomputed from the lineage.
-        lines = twin.paged_lines(twin.chart_lines(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for coll in todo:
-                BUILDERS[coll](spark, sf_dir, lines).write.mode("overwrite").parquet(
-                    L.collection_path(root, coll))
-        finally:
-            lines.unpersist()
+        # the joined, paged order lines feed all four collections: they are
+        # written once to the shared folder, where no lost executor costs them
+        path = os.path.join(_root(spark, sf_dir), "lines")
+        lines = twin.paged_lines(twin.chart_lines(spark, sf_dir), size=twin.CHART_PAGE)
+        lines.write.mode("overwrite").parquet(path)
+        lines = spark.read.schema(lines.schema).parquet(path)
+        for coll in todo:
+            BUILDERS[coll](spark, sf_dir, lines).write.mode("overwrite").parquet(
+                L.collection_path(root, coll))
     return root
 
 
@@ -142,13 +140,11 @@ def release(spark: SparkSession) -> list[str]:
     app = spark.sparkContext.applicationId
     removed = []
     with _LOCK:
-        for (sf_dir, app_id), fp in list(_FP.items()):
-            if app_id != app:
-                continue
-            path = os.path.join(checkpoint_dir(spark), "chartlake-twin", fp)
-            fs, p = _fs(spark, path)
-            if fs.exists(p):
-                fs.delete(p, True)
-                removed.append(path)
-            del _FP[(sf_dir, app_id)]
+        for key in [k for k in _FP if k[1] == app]:
+            for fp in _FP.pop(key):
+                path = os.path.join(checkpoint_dir(spark), "chartlake-twin", fp)
+                fs, p = _fs(spark, path)
+                if fs.exists(p):
+                    fs.delete(p, True)
+                    removed.append(path)
     return removed

@@ -17,6 +17,7 @@ from chartlake import operators as OP
 from chartlake import schemas
 from chartlake.plans import materialize as M
 from chartlake.plans import reads, transform, twin
+from chartlake.sources import landing as L
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -87,41 +88,58 @@ def json_docs(spark, d):
 # Shared SQL: the twin documents and transforms, stated relationally
 # ---------------------------------------------------------------------------
 
-LINES = """
+LINES = f"""
 lines AS (
-  SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, l.l_partkey, l.l_suppkey, l.l_quantity,
-         l.l_shipdate, l.l_returnflag, p.p_name, p.p_size, p.p_type
-  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-  LEFT JOIN part p ON p.p_partkey = l.l_partkey)"""
-
-RANKED = LINES + """,
-ranked AS (
-  SELECT *, CAST(l_partkey AS VARCHAR) AS track_id,
-         strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS added_at,
-         row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate, CAST(l_partkey AS VARCHAR),
-                            p_name, p_size, l_quantity, concat('s', l_suppkey)) - 1 AS pos
-  FROM lines)"""
+  SELECT *, date_trunc('hour', o_orderdate + INTERVAL 30 MINUTE) AS snap,
+         CASE WHEN l_partkey % 19 = 0 THEN CAST(l_partkey AS VARCHAR) || repeat('0', 32)
+              ELSE CAST(l_partkey AS VARCHAR) END AS t_id,
+         CASE WHEN l_partkey % 13 = 0 THEN p_name || repeat('x', 101) ELSE p_name END AS t_name,
+         CAST(p_size AS BIGINT) * CASE WHEN l_partkey % 17 = 0 THEN -1000 ELSE 1000 END AS t_duration,
+         CASE WHEN l_quantity = 50 THEN -50 ELSE CAST(l_quantity AS BIGINT) END AS t_popularity,
+         CASE l_partkey % 11 WHEN 0 THEN ' ' WHEN 1 THEN NULL WHEN 2 THEN p_type || repeat('x', 60)
+              ELSE p_type END AS t_genre,
+         CASE WHEN l_linenumber <> {twin.NO_USER_LINE} THEN l_suppkey END AS user_id,
+         CASE WHEN l_returnflag = 'A' AND l_linenumber = 6 THEN NULL
+              WHEN l_returnflag <> 'N' THEN l_shipdate ELSE o_orderdate END AS sc_release
+  FROM (
+    SELECT o.o_orderkey, o.o_custkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
+           l.l_shipdate, l.l_returnflag, p.p_name, p.p_size, p.p_type,
+           o.o_orderdate + to_minutes((o.o_orderkey % 48) * 30) AS o_orderdate
+    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+    LEFT JOIN part p ON p.p_partkey = l.l_partkey) x)"""
+
+RANKED = LINES + f""",
+placed AS (
+  SELECT *, t_id AS track_id, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS added_at,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate, t_id, t_name, t_duration,
+                            t_popularity, concat('s', l_suppkey)) - 1 AS nth
+  FROM lines),
+ranked AS (SELECT *, nth // {twin.CHART_PAGE} AS page, nth % {twin.CHART_PAGE} AS pos FROM placed),
+docs AS (
+  SELECT o.o_orderkey, coalesce(r.page, 0) AS page
+  FROM orders o LEFT JOIN (SELECT DISTINCT o_orderkey, page FROM ranked) r ON r.o_orderkey = o.o_orderkey)"""
 
 SP_TRACKS = LINES + """,
 sp_tracks AS (
   SELECT * FROM (
-    SELECT CAST(l_partkey AS VARCHAR) AS track_id, p_name AS name,
-           CAST(p_size AS BIGINT) * 1000 AS duration, 'spotify' AS source,
-           l_shipdate AS release_date, CAST(l_quantity AS BIGINT) AS popularity,
-           concat('s', l_suppkey) AS artist_id, o_orderdate AS snapshot_time FROM lines
+    SELECT t_id AS track_id, t_name AS name, t_duration AS duration, 'spotify' AS source,
+           l_shipdate AS release_date, t_popularity AS popularity,
+           concat('s', l_suppkey) AS artist_id, snap AS snapshot_time FROM lines
     UNION ALL
-    SELECT CAST(l_partkey AS VARCHAR), p_name, CAST(p_size AS BIGINT) * 1000, 'spotify',
-           l_shipdate, CAST(l_quantity AS BIGINT), concat('c', o_custkey), o_orderdate FROM lines) u
+    SELECT t_id, t_name, t_duration, 'spotify', l_shipdate, t_popularity, concat('c', o_custkey),
+           snap FROM lines) u
   QUALIFY row_number() OVER (PARTITION BY snapshot_time, track_id, artist_id
             ORDER BY release_date DESC NULLS LAST, popularity DESC NULLS LAST,
                      name ASC NULLS LAST, duration ASC NULLS LAST) = 1),
 sp_artists AS (
   SELECT concat('s', s_suppkey) AS artist_id, s_name AS name, 'spotify' AS source,
-         CAST(floor(s_acctbal) AS BIGINT) AS total_followers, r.o_orderdate AS snapshot_time
-  FROM (SELECT DISTINCT o_orderdate, l_suppkey FROM lines) r JOIN supplier ON s_suppkey = r.l_suppkey
+         CASE WHEN s_suppkey % 31 = 0 THEN 5000000000 ELSE CAST(floor(s_acctbal) AS BIGINT) END
+           AS total_followers, r.snap AS snapshot_time
+  FROM (SELECT DISTINCT snap, l_suppkey FROM lines) r JOIN supplier ON s_suppkey = r.l_suppkey
   UNION ALL
-  SELECT concat('c', c_custkey), c_name, 'spotify', CAST(floor(c_acctbal) AS BIGINT), r.o_orderdate
-  FROM (SELECT DISTINCT o_orderdate, o_custkey FROM lines) r JOIN customer ON c_custkey = r.o_custkey),
+  SELECT concat('c', c_custkey), CASE WHEN c_custkey % 29 = 0 THEN c_name || repeat('x', 101) ELSE c_name END,
+         'spotify', CAST(floor(c_acctbal) AS BIGINT), r.snap
+  FROM (SELECT DISTINCT snap, o_custkey FROM lines) r JOIN customer ON c_custkey = r.o_custkey),
 artist_nation AS (
   SELECT concat('s', s_suppkey) AS artist_id, s_nationkey AS nk FROM supplier
   UNION ALL SELECT concat('c', c_custkey), c_nationkey FROM customer),
@@ -136,24 +154,25 @@ sp_genres AS (
 
 SC_FACTS = LINES + """,
 sc_tracks AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS track_id, p_name AS name,
-         CAST(p_size AS BIGINT) * 1000 AS duration, 'soundcloud' AS source,
-         CASE WHEN l_returnflag <> 'N' THEN l_shipdate ELSE o_orderdate END AS release_date,
-         CAST(l_quantity AS BIGINT) AS popularity, CAST(l_suppkey AS VARCHAR) AS artist_id,
-         o_orderdate AS snapshot_time
+  SELECT CAST(l_partkey AS VARCHAR) AS track_id, t_name AS name, t_duration AS duration,
+         'soundcloud' AS source, sc_release AS release_date, t_popularity AS popularity,
+         coalesce(CAST(user_id AS VARCHAR), 'No Artist') AS artist_id, snap AS snapshot_time
   FROM lines
   QUALIFY row_number() OVER (PARTITION BY snapshot_time, track_id, artist_id
             ORDER BY release_date DESC NULLS LAST, popularity DESC NULLS LAST,
                      name ASC NULLS LAST, duration ASC NULLS LAST) = 1),
 sc_artists AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS artist_id, s_name AS name, 'soundcloud' AS source,
-         CAST(floor(s_acctbal) AS BIGINT) AS total_followers, r.o_orderdate AS snapshot_time
-  FROM (SELECT DISTINCT o_orderdate, l_suppkey FROM lines) r JOIN supplier ON s_suppkey = r.l_suppkey
-  WHERE s_acctbal >= 0),
+         CAST(floor(s_acctbal) AS BIGINT) AS total_followers, r.snap AS snapshot_time
+  FROM (SELECT DISTINCT snap, user_id FROM lines) r JOIN supplier ON s_suppkey = r.user_id
+  WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT DISTINCT 'No Artist', CAST(NULL AS VARCHAR), 'soundcloud', CAST(NULL AS BIGINT), snap
+  FROM lines WHERE user_id IS NULL),
 sc_genres AS (
-  SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS track_id, p_type AS genre, 'soundcloud' AS source,
-         o_orderdate AS snapshot_time
-  FROM lines WHERE p_type IS NOT NULL AND trim(p_type) <> '')"""
+  SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS track_id, t_genre AS genre, 'soundcloud' AS source,
+         snap AS snapshot_time
+  FROM lines WHERE t_genre IS NOT NULL AND trim(t_genre) <> '')"""
 
 EVENTS = """
 ev AS (
@@ -172,7 +191,7 @@ def _with(*ctes: str) -> str:
 # ---------------------------------------------------------------------------
 
 @register("explode_items", _with(RANKED) + """
-SELECT concat('/charts/', o_orderkey, '/0') AS href, CAST(pos AS BIGINT) AS position,
+SELECT concat('/charts/', o_orderkey, '/', page) AS href, CAST(pos AS BIGINT) AS position,
        track_id, added_at
 FROM ranked""")
 def explode_items(spark, d):
@@ -183,12 +202,11 @@ def explode_items(spark, d):
                         "track_id", "added_at")
 
 
-@register("explode_two_level", _with(LINES) + """
-SELECT concat('/charts/', o_orderkey, '/0') AS href, CAST(l_partkey AS VARCHAR) AS track_id,
-       concat('s', l_suppkey) AS artist_id FROM lines
+@register("explode_two_level", _with(RANKED) + """
+SELECT concat('/charts/', o_orderkey, '/', page) AS href, track_id,
+       concat('s', l_suppkey) AS artist_id FROM ranked
 UNION ALL
-SELECT concat('/charts/', o_orderkey, '/0'), CAST(l_partkey AS VARCHAR), concat('c', o_custkey)
-FROM lines""")
+SELECT concat('/charts/', o_orderkey, '/', page), track_id, concat('c', o_custkey) FROM ranked""")
 def explode_two_level(spark, d):
     items = OP.explode_fields(sp_docs(spark, d), "items",
                               {"track_id": "track.id",
@@ -197,11 +215,10 @@ def explode_two_level(spark, d):
     return items.select("href", "track_id", F.explode("artist_ids").alias("artist_id"))
 
 
-@register("nested_projection", _with(LINES) + """
-SELECT concat('/charts/', o_orderkey, '/0') AS href, CAST(l_partkey AS VARCHAR) AS track_id,
-       p_name AS name, CAST(p_size AS BIGINT) * 1000 AS duration,
-       CAST(l_quantity AS BIGINT) AS popularity, 'spotify' AS source
-FROM lines""")
+@register("nested_projection", _with(RANKED) + """
+SELECT concat('/charts/', o_orderkey, '/', page) AS href, track_id, t_name AS name,
+       t_duration AS duration, t_popularity AS popularity, 'spotify' AS source
+FROM ranked""")
 def nested_projection(spark, d):
     items = OP.explode_fields(sp_docs(spark, d), "items", {
         "track_id": "track.id", "name": "track.name", "duration": "track.duration_ms",
@@ -210,10 +227,10 @@ def nested_projection(spark, d):
                         F.lit("spotify").alias("source"))
 
 
-@register("coalesce_timestamp", _with(LINES) + """
-SELECT concat('charts:', o_orderkey, ':0') AS query_urn, CAST(l_partkey AS VARCHAR) AS track_id,
-       CASE WHEN l_returnflag <> 'N' THEN l_shipdate ELSE o_orderdate END AS release_date
-FROM lines""")
+@register("coalesce_timestamp", _with(RANKED) + """
+SELECT concat('charts:', o_orderkey, ':', page) AS query_urn, CAST(l_partkey AS VARCHAR) AS track_id,
+       sc_release AS release_date
+FROM ranked""")
 def coalesce_timestamp(spark, d):
     items = OP.explode_fields(sc_docs(spark, d), "collection", {
         "id": "track.id", "release_text": "track.release_date", "created_text": "track.created_at"},
@@ -229,8 +246,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""")
 def unknown_member(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey")
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
-    return j.select("o_orderkey", CF.unknown_member("l_suppkey").alias("artist_id"))
+    return twin.with_items(o, li).select("o_orderkey", CF.unknown_member("l_suppkey").alias("artist_id"))
 
 
 # ---------------------------------------------------------------------------
@@ -260,9 +276,12 @@ def soundcloud_tracks(spark, d):
     return sc_facts(spark, d)[0]
 
 
-@register("soundcloud_artists", _with(SC_FACTS) + "\nSELECT * FROM sc_artists")
+@register("soundcloud_artists", _with(SC_FACTS) + """
+SELECT artist_id, name, source, CAST(total_followers AS DOUBLE) AS total_followers, snapshot_time
+FROM sc_artists""")
 def soundcloud_artists(spark, d):
-    return sc_facts(spark, d)[1]
+    # as double: clients differ in how they show a nullable integer
+    return sc_facts(spark, d)[1].withColumn("total_followers", F.col("total_followers").cast("double"))
 
 
 @register("soundcloud_genres", _with(SC_FACTS) + "\nSELECT * FROM sc_genres")
@@ -316,17 +335,21 @@ def snapshot_metadata(spark, d):
 
 
 @register("snapshot_join", _with(SP_TRACKS) + """,
-md AS (SELECT snapshot_time AS data_time FROM sp_tracks),
+md AS (SELECT concat_ws('|', track_id, artist_id) AS key, snapshot_time AS data_time FROM sp_tracks),
 latest AS (SELECT max(data_time) AS m FROM md GROUP BY CAST(data_time AS DATE))
-SELECT track_id, artist_id, snapshot_time AS chart_date FROM sp_tracks
-WHERE snapshot_time IN (SELECT m FROM latest)""")
+SELECT t.track_id, t.artist_id, md.data_time AS chart_date
+FROM sp_tracks t JOIN md ON md.key = concat_ws('|', t.track_id, t.artist_id)
+                         AND md.data_time = t.snapshot_time
+WHERE md.data_time IN (SELECT m FROM latest)""")
 def snapshot_join(spark, d):
+    """Tracks joined to the metadata view on the record's key, at each day's latest time."""
     md, tr = _metadata(spark, d)
-    latest = (md.where(F.col("record_type") == "tracks")
-                .groupBy(F.to_date("data_time")).agg(F.max("data_time").alias("m")))
-    # one row per calendar day: a size bounded by the calendar span
-    out = tr.join(F.broadcast(latest.select("m")), F.col("snapshot_time") == F.col("m"), "left_semi")
-    return out.select("track_id", "artist_id", F.col("snapshot_time").alias("chart_date"))
+    times = md.where(F.col("record_type") == "tracks").select("key", "data_time")
+    latest = times.groupBy(F.to_date("data_time")).agg(F.max("data_time").alias("m"))
+    times = times.join(latest.select("m"), F.col("data_time") == F.col("m"), "left_semi")
+    out = tr.join(times, (F.concat_ws("|", "track_id", "artist_id") == F.col("key"))
+                  & (F.col("snapshot_time") == F.col("data_time")))
+    return out.select("track_id", "artist_id", F.col("data_time").alias("chart_date"))
 
 
 # ---------------------------------------------------------------------------
@@ -354,23 +377,26 @@ def limit_topk(spark, d):
 
 
 @register("group_concat", _with(SP_TRACKS) + """
-SELECT track_id, nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
-FROM sp_tracks GROUP BY track_id""")
+SELECT track_id, snapshot_time,
+       nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
+FROM sp_tracks GROUP BY track_id, snapshot_time""")
 def group_concat(spark, d):
+    """Artists of each track in each snapshot: a cell holds one chart's artists of a track."""
     tr = wh(spark, d, transform.SPOTIFY)[0]
-    return tr.groupBy("track_id").agg(CF.group_concat("artist_id").alias("artists"))
+    return tr.groupBy("track_id", "snapshot_time").agg(CF.group_concat("artist_id").alias("artists"))
 
 
 @register("split_list", _with(SP_TRACKS) + """,
-g AS (SELECT track_id, nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
-      FROM sp_tracks GROUP BY track_id)
-SELECT track_id, CAST(len(string_split(artists, ',')) AS BIGINT) AS n_artists,
+g AS (SELECT track_id, snapshot_time,
+             nullif(array_to_string(list_sort(list_distinct(list(artist_id))), ','), '') AS artists
+      FROM sp_tracks GROUP BY track_id, snapshot_time)
+SELECT track_id, snapshot_time, CAST(len(string_split(artists, ',')) AS BIGINT) AS n_artists,
        string_split(artists, ',')[1] AS first_artist
 FROM g""")
 def split_list(spark, d):
     g = group_concat(spark, d)
     arr = CF.split_list("artists")
-    return g.select("track_id", F.size(arr).cast("bigint").alias("n_artists"),
+    return g.select("track_id", "snapshot_time", F.size(arr).cast("bigint").alias("n_artists"),
                     F.get(arr, 0).alias("first_artist"))
 
 
@@ -525,7 +551,8 @@ def fk_orphan_tracks(spark, d):
 # ---------------------------------------------------------------------------
 
 @register("request_frontier", _with(LINES) + f"""
-SELECT DISTINCT l_suppkey AS id, '{URL_TEMPLATE.replace('%s', '')}' || l_suppkey AS url FROM lines""")
+SELECT DISTINCT user_id AS id, '{URL_TEMPLATE.replace('%s', '')}' || user_id AS url FROM lines
+WHERE user_id IS NOT NULL""")
 def request_frontier(spark, d):
     docs = sc_docs(spark, d)
     ids = docs.select(CF.json_path_df(docs, "collection", "[*].track.user_id").alias("ids"))
@@ -542,18 +569,35 @@ def flatten_distinct(spark, d):
 
 
 @register("missing_ids", _with(LINES) + f"""
-SELECT DISTINCT 'missing_artists' AS type, l_suppkey AS id, {RUN_STAMP} AS data_time
-FROM lines JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal < 0""")
+SELECT DISTINCT 'missing_artists' AS type, user_id AS id, {RUN_STAMP} AS data_time
+FROM lines JOIN supplier ON s_suppkey = user_id WHERE s_acctbal < 0""")
 def missing_ids(spark, d):
     docs = sc_docs(spark, d)
     requested = docs.select("data_time", F.explode("collection.track.user_id").alias("id"))
-    fetched = M.raw(spark, d, "soundcloud_artists").where(F.col("type").isNull()).select(
-        "data_time", "id")
-    req = requested.where(F.col("id").isNotNull()).distinct()
-    miss = req.join(fetched.distinct(), ["data_time", "id"], "left_anti")
+    fetched = M.raw(spark, d, "soundcloud_artists").select("data_time", "id")
+    miss = OP.missing_ids(requested, fetched, "id", run=["data_time"])
     return OP.missing_report(miss, "id", "data_time")
 
 
+@register("missing_reported", _with(LINES) + f"""
+SELECT DISTINCT user_id AS id, {RUN_STAMP} AS data_time
+FROM lines JOIN supplier ON s_suppkey = user_id WHERE s_acctbal < 0""")
+def missing_reported(spark, d):
+    """What the reports among the landed artist documents name."""
+    return transform.soundcloud_missing(M.raw(spark, d, "soundcloud_artists"))
+
+
+@register("request_frontier_of_run", _with(LINES) + f"""
+SELECT DISTINCT user_id AS id, '{URL_TEMPLATE.replace('%s', '')}' || user_id AS url FROM lines
+WHERE user_id IS NOT NULL AND {RUN_STAMP} = (SELECT max({RUN_STAMP}) FROM lines)""")
+def request_frontier_of_run(spark, d):
+    """The ids to fetch for one run, the latest with items (S5, S6): its documents only."""
+    docs = sc_docs(spark, d)
+    last = docs.where(F.size("collection") > 0).agg(F.max("data_time")).first()[0]
+    ids = L.read_raw(spark, M.landing_root(spark, d), "soundcloud_top_tracks", runtime=last)
+    return OP.request_frontier(ids.select(F.col("collection.track.user_id").alias("ids")), "ids", URL_TEMPLATE)
+
+
 # ---------------------------------------------------------------------------
 # JSON paths (X5) over landed JSON text
 # ---------------------------------------------------------------------------
@@ -562,17 +606,18 @@ _PATH_ORDER = "ORDER BY pos"
 
 
 @register("json_path_index", _with(RANKED) + """
-SELECT concat('/charts/', o.o_orderkey, '/0') AS href, r.track_id AS value
-FROM orders o LEFT JOIN ranked r ON r.o_orderkey = o.o_orderkey AND r.pos = 0""")
+SELECT concat('/charts/', d.o_orderkey, '/', d.page) AS href, r.track_id AS value
+FROM docs d LEFT JOIN ranked r ON r.o_orderkey = d.o_orderkey AND r.page = d.page AND r.pos = 0""")
 def json_path_index(spark, d):
     j = json_docs(spark, d)
     return j.select("href", CF.json_path_df(j, "doc", "items.[0].track.id").alias("value"))
 
 
 @register("json_path_wildcard", _with(RANKED) + f"""
-SELECT concat('/charts/', o.o_orderkey, '/0') AS href,
+SELECT concat('/charts/', d.o_orderkey, '/', d.page) AS href,
        coalesce(string_agg(r.track_id, ',' {_PATH_ORDER}), '') AS value
-FROM orders o LEFT JOIN ranked r ON r.o_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
+FROM docs d LEFT JOIN ranked r ON r.o_orderkey = d.o_orderkey AND r.page = d.page
+GROUP BY d.o_orderkey, d.page""")
 def json_path_wildcard(spark, d):
     j = json_docs(spark, d)
     return j.select("href", F.array_join(CF.json_path_df(j, "doc", "items.[*].track.id"), ",")
@@ -580,10 +625,11 @@ def json_path_wildcard(spark, d):
 
 
 @register("json_path_nested_wildcard", _with(RANKED) + f"""
-SELECT concat('/charts/', o.o_orderkey, '/0') AS href,
+SELECT concat('/charts/', d.o_orderkey, '/', d.page) AS href,
        coalesce(string_agg(concat('s', r.l_suppkey, '+c', r.o_custkey), ',' {_PATH_ORDER})
                 FILTER (WHERE r.o_orderkey IS NOT NULL), '') AS value
-FROM orders o LEFT JOIN ranked r ON r.o_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
+FROM docs d LEFT JOIN ranked r ON r.o_orderkey = d.o_orderkey AND r.page = d.page
+GROUP BY d.o_orderkey, d.page""")
 def json_path_nested_wildcard(spark, d):
     j = json_docs(spark, d)
     lol = CF.json_path_df(j, "doc", "items.[*].track.artists.[*].id")
@@ -592,10 +638,11 @@ def json_path_nested_wildcard(spark, d):
 
 
 @register("json_path_slice", _with(RANKED) + f"""
-SELECT concat('/charts/', o.o_orderkey, '/0') AS href,
+SELECT concat('/charts/', d.o_orderkey, '/', d.page) AS href,
        coalesce(string_agg(r.track_id, ',' {_PATH_ORDER}), '') AS value
-FROM orders o LEFT JOIN ranked r ON r.o_orderkey = o.o_orderkey AND r.pos >= 1 AND r.pos < 3
-GROUP BY o.o_orderkey""")
+FROM docs d LEFT JOIN ranked r ON r.o_orderkey = d.o_orderkey AND r.page = d.page
+                          AND r.pos >= 1 AND r.pos < 3
+GROUP BY d.o_orderkey, d.page""")
 def json_path_slice(spark, d):
     j = json_docs(spark, d)
     return j.select("href", F.array_join(CF.json_path_df(j, "doc", "items.[1:3].track.id"), ",")
@@ -665,18 +712,26 @@ def marker_substring(spark, d):
 
 
 @register("iso_datetime_check", """
-SELECT event_id,
-  CASE WHEN try_cast(CAST(ts AS VARCHAR) AS TIMESTAMP) IS NOT NULL THEN 1 ELSE 0 END AS ts_ok,
-  CASE WHEN try_cast(strftime(ts, '%Y-%m-%d') AS TIMESTAMP) IS NOT NULL THEN 1 ELSE 0 END AS date_ok,
-  CASE WHEN try_cast(props AS TIMESTAMP) IS NOT NULL THEN 1 ELSE 0 END AS props_ok
-FROM events""")
+WITH t AS (
+  SELECT event_id, CASE event_id % 6
+    WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN strftime(ts, '%Y-%m-%d')
+    WHEN 2 THEN strftime(ts, '%H:%M') WHEN 3 THEN strftime(ts, '%Y')
+    WHEN 4 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+07:00' ELSE props END AS text, ts FROM events)
+SELECT event_id, CASE WHEN event_id % 6 IN (0, 1, 4) THEN 1 ELSE 0 END AS ok,
+       CASE event_id % 6 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('day', ts)
+            WHEN 4 THEN date_trunc('second', ts) - INTERVAL 7 HOUR END AS at
+FROM t""")
 def iso_datetime_check(spark, d):
+    """Mixed texts: with zone, date alone, time alone, year alone, with offset, junk."""
     e = _t(spark, d, "events")
-    flag = lambda c: F.when(CF.is_iso_datetime(c), 1).otherwise(0)
-    return e.select("event_id",
-                    flag(F.col("ts").cast("string")).alias("ts_ok"),
-                    flag(F.date_format("ts", "yyyy-MM-dd")).alias("date_ok"),
-                    flag(F.col("props")).alias("props_ok"))
+    form = lambda f: F.date_format("ts", f)
+    n = F.col("event_id") % 6
+    text = (F.when(n == 0, CF.iso_text("ts")).when(n == 1, form("yyyy-MM-dd")).when(n == 2, form("HH:mm"))
+            .when(n == 3, form("yyyy")).when(n == 4, F.concat(CF.iso_text("ts", with_zone=False), F.lit("+07:00")))
+            .otherwise(F.col("props")))
+    t = e.select("event_id", text.alias("text"))
+    return t.select("event_id", F.when(CF.is_iso_datetime("text"), 1).otherwise(0).alias("ok"),
+                    CF.parse_iso("text").alias("at"))
 
 
 # ---------------------------------------------------------------------------
@@ -714,9 +769,34 @@ def quality_artists(spark, d):
     return OP.rule_counts(wh(spark, d, transform.SPOTIFY)[1], OP.quality.artist_rules())
 
 
-@register("quality_tracks", _with(SC_FACTS) + "\n" + _rules_sql("sc_tracks", TRACK_RULES_SQL))
+GENRE_RULES_SQL = {
+    "track_id_null": "track_id IS NULL",
+    "genre_null": "genre IS NULL",
+    "genre_too_long": f"length(genre) > {schemas.GENRE_MAX_LEN}",
+}
+BOTH = "WITH " + SP_TRACKS.strip() + "," + SC_FACTS.replace(LINES + ",", "")
+
+
+@register("quality_tracks", BOTH + ", t AS (SELECT * FROM sp_tracks UNION ALL SELECT * FROM sc_tracks)\n"
+          + _rules_sql("t", TRACK_RULES_SQL))
 def quality_tracks(spark, d):
-    return OP.rule_counts(wh(spark, d, transform.SOUNDCLOUD)[0], OP.quality.track_rules())
+    return OP.rule_counts(M.table(spark, d, "tracks"), OP.quality.track_rules())
+
+
+@register("quality_genres", _with(SC_FACTS) + "\n" + _rules_sql("sc_genres", GENRE_RULES_SQL))
+def quality_genres(spark, d):
+    return OP.rule_counts(wh(spark, d, transform.SOUNDCLOUD)[2], OP.quality.genre_rules())
+
+
+@register("quality_rejected", BOTH + ", t AS (SELECT * FROM sp_tracks UNION ALL SELECT * FROM sc_tracks)\n"
+          + "SELECT source, track_id, artist_id, snapshot_time, concat_ws(',', "
+          + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in TRACK_RULES_SQL.items())
+          + ") AS failed FROM t WHERE " + " OR ".join(f"({c})" for c in TRACK_RULES_SQL.values()))
+def quality_rejected(spark, d):
+    """The tracks a load would keep back, with the rules they break (``check``)."""
+    _, bad = OP.quality.check(M.table(spark, d, "tracks"), OP.quality.track_rules())
+    return bad.select("source", "track_id", "artist_id", "snapshot_time",
+                      F.array_join("failed_rules", ",").alias("failed"))
 
 
 @register("quality_required", """
@@ -729,14 +809,14 @@ def quality_required(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey")
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate",
                                          "l_returnflag")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
-    return OP.null_counts(j, ["o_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
+    return OP.null_counts(twin.with_items(o, li), ["o_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
 
 
 DOC_RULES_SQL = {
     "text_null": "text IS NULL",
     "n_chars_negative": "n_chars < 0",
     "n_chars_mismatch": "n_chars <> length(text)",
+    "text_over_name_width": f"length(text) > {schemas.NAME_MAX_LEN}",
     "source_too_long": f"length(source) > {schemas.SOURCE_MAX_LEN}",
 }
 PART_RULES_SQL = {
@@ -758,6 +838,7 @@ def quality_length(spark, d):
         "text_null": F.col("text").isNull(),
         "n_chars_negative": F.col("n_chars") < 0,
         "n_chars_mismatch": F.col("n_chars") != F.length("text"),
+        "text_over_name_width": F.length("text") > schemas.NAME_MAX_LEN,
         "source_too_long": F.length("source") > schemas.SOURCE_MAX_LEN,
     }
     part = _t(spark, d, "part")

@@ -3,16 +3,20 @@
 The test data has no music tables, so each raw collection gets a twin that
 Spark derives from the whole given tables (its size grows with them):
 
-* one chart run per order: ``data_time`` = ``o_orderdate`` (ISO text);
+* one chart run per order: ``data_time`` = ``o_orderdate`` plus up to 23.5
+  hours in half hours by the order's key, so a day has many snapshots and
+  runs at half past round up, the last ones into the next day;
 * one chart item per line item, track = part, ``added_at`` = ship date;
 * artists of an item = its supplier (``s<suppkey>``) and the order's
   customer (``c<custkey>``); an artist's genres = its nation and region;
-* SoundCloud: the track's user is the supplier, its genre the part type, and
-  ``release_date`` is absent for lines with return flag ``N`` (so the
-  creation time is used);
+* SoundCloud: the track's user is the supplier (none for line number 7), its
+  genre the part type, and ``release_date`` is absent for lines with return
+  flag ``N`` (so the creation time is used) and junk for some others;
 * artist documents are "fetched" per run for every artist the run's charts
   name; a SoundCloud fetch fails for suppliers with a negative balance,
-  which gives the missing-ids report something to find.
+  which the missing-ids reports among the documents name;
+* some ids and names are over the warehouse's widths, some numbers negative or
+  too large, some genres blank, missing or too long, so every rule has rows.
 
 Documents hold at most ``PAGE_SIZE`` items: a longer chart becomes several
 pages, so no single document (or task) gathers an unbounded group.
@@ -27,9 +31,10 @@ from chartlake.functions.time import iso_text
 
 # Fixed value: one chart page holds at most 100 items (the sources' page size).
 PAGE_SIZE = 100
-# A chart with more items than this is numbered in hash-split sub-groups.
-SALT_ROWS = 1_000_000
-PAGES_PER_SALT = 100_000
+#: Items of a page of the twin's charts; orders are short, so their pages are too.
+CHART_PAGE = 5
+#: The line number whose SoundCloud track has no user.
+NO_USER_LINE = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,46 +46,71 @@ def run_stamp(ts) -> "F.Column":
     return F.concat(iso_text(ts, with_zone=False), F.lit("+00:00"))
 
 
+def run_time(order_key: str = "o_orderkey", day: str = "o_orderdate") -> "F.Column":
+    """When an order's chart ran: half hours into its day, by its key."""
+    return F.expr(f"{day} + make_dt_interval(0, 0, cast({order_key} % 48 AS int) * 30)").cast("timestamp_ntz")
+
+
+def with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """``orders LEFT JOIN items`` as an inner join and the orders without items:
+    an order with very many items is on the side of an inner join that AQE can split."""
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    return orders.join(items, same).unionByName(
+        orders.join(items.select("l_orderkey"), same, "left_anti"), allowMissingColumns=True)
+
+
 def chart_lines(spark: SparkSession, sf_dir: str, keep_empty: bool = True) -> DataFrame:
     """Orders with their items and item attributes (order rows without
-    items are kept when ``keep_empty``: they become empty charts)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    items are kept when ``keep_empty``: they become empty charts).
+    ``o_orderdate`` is the time of the order's chart run."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", run_time().alias("o_orderdate"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
         "l_returnflag")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type")
+    key = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(key % 13 == 0, F.concat("p_name", F.repeat(F.lit("x"), 101))).otherwise(F.col("p_name")).alias("t_name"),
+        (F.col("p_size").cast("bigint") * F.when(key % 17 == 0, -1000).otherwise(1000)).alias("t_duration"),
+        F.when(key % 11 == 0, " ").when(key % 11 == 2, F.concat("p_type", F.repeat(F.lit("x"), 60)))
+         .when(key % 11 != 1, F.col("p_type")).alias("t_genre"))
     lp = li.join(p, li.l_partkey == p.p_partkey, "left")
-    how = "left" if keep_empty else "inner"
-    return o.join(lp, o.o_orderkey == lp.l_orderkey, how)
-
-
-def paged_lines(lines: DataFrame, order_key=None) -> DataFrame:
-    """Add the ``page`` of every item: documents hold at most PAGE_SIZE items.
-
-    Pages are numbered by ``row_number`` over a total order of the item
-    content (``order_key``, by default the Spotify item struct) inside a
-    window. A hot chart (one order holding a third of all rows) must not be
-    numbered by one task, so an order with more than SALT_ROWS items is first
-    split by a hash of the item into ``ceil(n / SALT_ROWS)`` sub-groups, and
-    pages are numbered within each sub-group: every window partition holds
-    about SALT_ROWS rows at most. Orders below the threshold (the usual case)
-    keep one sub-group, so their pages are the plain ``row_number`` pages. The
-    per-order counts are a partial/final aggregate; the join back is on the
-    order key, which AQE's skew-join handling can split. The page is computed
-    once and shared by every collection built from the same lines.
+    text = F.col("l_partkey").cast("string")
+    lp = lp.withColumn("t_id", F.when(F.col("l_partkey") % 19 == 0, F.concat(text, F.repeat(F.lit("0"), 32)))
+                       .otherwise(text)).withColumn(
+        "t_popularity", F.when(F.col("l_quantity") == 50, -50).otherwise(F.col("l_quantity").cast("bigint")))
+    same = o.o_orderkey == lp.l_orderkey
+    return with_items(o, lp) if keep_empty else o.join(lp, same)
+
+
+def paged_lines(lines: DataFrame, order_key=None, size: int = PAGE_SIZE) -> DataFrame:
+    """Add the ``page`` of every item: documents hold at most ``size`` items.
+
+    An item's page is its place in its order's total order of item content
+    (``order_key``, by default the Spotify item struct), divided by ``size``.
+    The lines are sorted over all tasks by range of (order, item), so an order
+    with a third of all rows lies in many tasks; this is written once, with
+    the number of the range, to the shared folder. Counts per order and range
+    (a small table) give where each range's numbering starts, and inside a
+    range items are counted on. Every order, of any size, takes this path.
     """
+    from chartlake.session import staging_path
+    spark = lines.sparkSession
     key = spotify_item() if order_key is None else order_key
-    has_item = F.col("l_orderkey").isNotNull()
-    keyed = lines.withColumn("__k", F.when(has_item, key))
-    sizes = keyed.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-    salted = (keyed.join(sizes, "o_orderkey")
-              .withColumn("__salt", F.when(F.col("__n") <= SALT_ROWS, F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64("__k"), F.ceil(F.col("__n") / F.lit(SALT_ROWS))))))
-    w = Window.partitionBy("o_orderkey", "__salt").orderBy("__k")
-    rn = F.row_number().over(w) - 1
-    return (salted.withColumn("page", (F.col("__salt") * F.lit(PAGES_PER_SALT)
-                                       + F.floor(rn / F.lit(PAGE_SIZE))).cast("int"))
-                  .drop("__k", "__n", "__salt"))
+    keyed = lines.withColumn("__k", F.when(F.col("l_orderkey").isNotNull(), key))
+    ranged = keyed.repartitionByRange("o_orderkey", "__k").withColumn("__range", F.spark_partition_id())
+    path = staging_path(spark, "paged-lines")
+    ranged.write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    counts = stored.groupBy("o_orderkey", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("o_orderkey").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("o_orderkey").alias("__o"), F.col("__range").alias("__r"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("o_orderkey", "__range").orderBy("__k")
+    return (stored.withColumn("__rn", F.row_number().over(inside) - 1)
+            .join(starts, (F.col("o_orderkey") == F.col("__o")) & (F.col("__range") == F.col("__r")))
+            .withColumn("page", F.floor((F.col("__start") + F.col("__rn")) / F.lit(size)).cast("int"))
+            .drop("__k", "__range", "__rn", "__o", "__r", "__start"))
 
 
 def _docs(paged: DataFrame, item) -> DataFrame:
@@ -102,10 +132,10 @@ def spotify_item():
         F.struct(F.concat(F.lit("c"), F.col("o_custkey")).alias("id"),
                  F.concat(F.lit("/artists/c"), F.col("o_custkey")).alias("href")))
     track = F.struct(
-        F.col("l_partkey").cast("string").alias("id"),
-        F.col("p_name").alias("name"),
-        (F.col("p_size").cast("bigint") * 1000).alias("duration_ms"),
-        F.col("l_quantity").cast("bigint").alias("popularity"),
+        F.col("t_id").alias("id"),
+        F.col("t_name").alias("name"),
+        F.col("t_duration").alias("duration_ms"),
+        F.col("t_popularity").alias("popularity"),
         artists.alias("artists"))
     return F.struct(iso_text("l_shipdate").alias("added_at"), track.alias("track"))
 
@@ -118,7 +148,7 @@ def _lines(spark, sf_dir, lines, keep_empty):
 
 def _paged(spark, sf_dir, lines):
     src = _lines(spark, sf_dir, lines, True)
-    return src if "page" in src.columns else paged_lines(src)
+    return src if "page" in src.columns else paged_lines(src, size=CHART_PAGE)
 
 
 def spotify_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
@@ -126,9 +156,9 @@ def spotify_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None
     docs = _docs(_paged(spark, sf_dir, lines), spotify_item())
     return docs.select(
         F.concat(F.lit("/charts/"), F.col("o_orderkey"), F.lit("/"), F.coalesce("page", F.lit(0))).alias("href"),
-        F.lit(PAGE_SIZE).cast("bigint").alias("limit"),
+        F.lit(CHART_PAGE).cast("bigint").alias("limit"),
         F.lit(None).cast("string").alias("next"),
-        (F.coalesce("page", F.lit(0)) * PAGE_SIZE).cast("bigint").alias("offset"),
+        (F.coalesce("page", F.lit(0)) * CHART_PAGE).cast("bigint").alias("offset"),
         F.lit(None).cast("string").alias("previous"),
         F.size("items").cast("bigint").alias("total"),
         "items",
@@ -136,17 +166,16 @@ def spotify_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | None
 
 
 def _genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation key -> [nation name, region name]. Both dimensions are fixed
-    by the TPC-H spec (25 nations, 5 regions), so broadcasting is bounded."""
+    """nation key -> [nation name, region name]."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("nationkey"), F.array("n_name", "r_name").alias("genres"))
 
 
 def spotify_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     lines = _lines(spark, sf_dir, lines, False)
-    g = F.broadcast(_genres(spark, sf_dir))
+    g = _genres(spark, sf_dir)
     sup_runs = lines.select("o_orderdate", F.col("l_suppkey").alias("key")).distinct()
     cus_runs = lines.select("o_orderdate", F.col("o_custkey").alias("key")).distinct()
     s = table(spark, sf_dir, "supplier")
@@ -154,11 +183,14 @@ def spotify_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
     sa = (sup_runs.join(s, sup_runs.key == s.s_suppkey)
           .join(g, F.col("s_nationkey") == g.nationkey, "left")
           .select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"),
-                  F.struct(F.floor("s_acctbal").cast("bigint").alias("total")).alias("followers"),
+                  F.struct(F.when(F.col("s_suppkey") % 31 == 0, 5_000_000_000)
+                           .otherwise(F.floor("s_acctbal").cast("bigint")).alias("total")).alias("followers"),
                   "genres", run_stamp("o_orderdate").alias("data_time")))
     ca = (cus_runs.join(c, cus_runs.key == c.c_custkey)
           .join(g, F.col("c_nationkey") == g.nationkey, "left")
-          .select(F.concat(F.lit("c"), F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"),
+          .select(F.concat(F.lit("c"), F.col("c_custkey")).alias("id"), 
+                  F.when(F.col("c_custkey") % 29 == 0, F.concat("c_name", F.repeat(F.lit("x"), 101)))
+                   .otherwise(F.col("c_name")).alias("name"),
                   F.struct(F.floor("c_acctbal").cast("bigint").alias("total")).alias("followers"),
                   "genres", run_stamp("o_orderdate").alias("data_time")))
     return sa.unionByName(ca)
@@ -167,13 +199,14 @@ def spotify_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
 def soundcloud_item():
     track = F.struct(
         F.col("l_partkey").alias("id"),
-        F.col("p_name").alias("title"),
-        (F.col("p_size").cast("bigint") * 1000).alias("duration"),
-        F.when(F.col("l_returnflag") != "N", iso_text("l_shipdate")).alias("release_date"),
+        F.col("t_name").alias("title"),
+        F.col("t_duration").alias("duration"),
+        F.when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 6), "unknown")
+         .when(F.col("l_returnflag") != "N", iso_text("l_shipdate")).alias("release_date"),
         run_stamp("o_orderdate").alias("created_at"),
-        F.col("l_quantity").cast("bigint").alias("likes_count"),
-        F.col("l_suppkey").alias("user_id"),
-        F.col("p_type").alias("genre"))
+        F.col("t_popularity").alias("likes_count"),
+        F.when(F.col("l_linenumber") != NO_USER_LINE, F.col("l_suppkey")).alias("user_id"),
+        F.col("t_genre").alias("genre"))
     return F.struct(track.alias("track"))
 
 
@@ -188,13 +221,17 @@ def soundcloud_top_tracks(spark: SparkSession, sf_dir: str, lines: DataFrame | N
 
 
 def soundcloud_artists(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """Artist documents of the suppliers each run names (failed fetches -
-    negative balance - have no document)."""
-    lines = _lines(spark, sf_dir, lines, False)
+    """Artist documents of the suppliers each run names (some with a type of
+    their own), and reports of those that couldn't be fetched (negative
+    balance), one a document so that no run gathers its reports in one row."""
+    lines = _lines(spark, sf_dir, lines, False).where(F.col("l_linenumber") != NO_USER_LINE)
     runs = lines.select("o_orderdate", F.col("l_suppkey").alias("key")).distinct()
-    s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
-    return runs.join(s, runs.key == s.s_suppkey).select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("full_name"),
-        F.floor("s_acctbal").cast("bigint").alias("followers_count"),
-        F.lit(None).cast("string").alias("type"), F.lit(None).cast("array<bigint>").alias("data"),
+    s = table(spark, sf_dir, "supplier")
+    named = runs.join(s, runs.key == s.s_suppkey)
+    got = F.col("s_acctbal") >= 0
+    return named.select(
+        F.when(got, F.col("s_suppkey")).alias("id"), F.when(got, F.col("s_name")).alias("full_name"),
+        F.when(got, F.floor("s_acctbal").cast("bigint")).alias("followers_count"),
+        F.when(~got, "missing_artists").when(F.col("s_suppkey") % 2 == 0, "user").alias("type"),
+        F.when(~got, F.array("s_suppkey")).alias("data"),
         run_stamp("o_orderdate").alias("data_time"))

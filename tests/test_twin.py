@@ -12,8 +12,7 @@ def _lines(spark, n_hot, n_small):
     return spark.createDataFrame(rows, "o_orderkey int, o_orderdate timestamp, l_orderkey int, v int")
 
 
-def test_pages_bounded_and_hot_chart_split(spark, monkeypatch):
-    monkeypatch.setattr(twin, "SALT_ROWS", 120)
+def test_pages_bounded_and_hot_chart_split(spark):
     docs = twin._paged_docs(_lines(spark, 1000, 7), F.struct(F.col("v").alias("v")))
     got = docs.select("o_orderkey", "page", F.size("items").alias("n"),
                       F.transform("items", lambda x: x["v"]).alias("vs")).collect()
