@@ -10,11 +10,11 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes handled at once in a task; a longer text is handled alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
-def chunks(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about CHUNK_BYTES of text each; null texts become empty."""
+def chunks(batch: pa.RecordBatch, text: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with about ``limit`` bytes of text each; null texts become empty."""
     filled = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
     columns = [filled if i == text else c for i, c in enumerate(batch.columns)]
     batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
@@ -22,7 +22,7 @@ def chunks(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
