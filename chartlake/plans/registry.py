@@ -437,6 +437,18 @@ def genres_of_artist(spark, d):
     return OP.genres_of(ge, tr, by="artist_id")
 
 
+@register("genres_of_track_and_artist", _with(SP_TRACKS) + """
+SELECT DISTINCT t.track_id, t.artist_id, g.genre FROM sp_genres g
+JOIN sp_tracks t ON t.track_id = g.track_id AND t.snapshot_time = g.snapshot_time
+                 AND t.source = g.source""")
+def genres_of_track_and_artist(spark, d):
+    """Both ids given (F4), for every pair of ids at once."""
+    tr, _, ge = wh(spark, d, transform.SPOTIFY)
+    keys = ["track_id", "snapshot_time", "source"]
+    pairs = tr.where(F.col("artist_id").isNotNull()).select(*keys, "artist_id")
+    return ge.select(*keys, "genre").join(pairs, keys).select("track_id", "artist_id", "genre").distinct()
+
+
 @register("genres_list_by_artist", _with(SP_TRACKS) + """
 SELECT artist_id, array_to_string(list_sort(list_distinct(list(genre))), ',') AS genres FROM (
   SELECT DISTINCT t.artist_id, g.genre FROM sp_genres g
@@ -812,6 +824,19 @@ def quality_required(spark, d):
     return OP.null_counts(twin.with_items(o, li), ["o_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
 
 
+@register("artists_filtered", BOTH + """,
+a AS (SELECT * FROM sp_artists UNION ALL SELECT * FROM sc_artists)
+SELECT source, artist_id, name, CAST(total_followers AS DOUBLE) AS total_followers,
+       snapshot_time AS chart_date FROM a
+WHERE source = 'soundcloud'
+  AND snapshot_time IN (SELECT max(snapshot_time) FROM a GROUP BY CAST(snapshot_time AS DATE))""")
+def artists_filtered(spark, d):
+    """Artists by optional filters (F3): one given, one absent, one empty."""
+    out = reads.artists_at(M.table(spark, d, "artists"), source=transform.SOUNDCLOUD, artist_id="",
+                           every_day=True, limit=None)
+    return out.withColumn("total_followers", F.col("total_followers").cast("double"))
+
+
 DOC_RULES_SQL = {
     "text_null": "text IS NULL",
     "n_chars_negative": "n_chars < 0",
