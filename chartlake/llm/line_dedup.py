@@ -73,12 +73,14 @@ def drop_boilerplate(df: DataFrame, host: str, text: str, salt: list[str], ratio
             .drop("__salt", "__s", "__host", "__drop", "__lines", "__kept"))
 
 
-#: DuckDB form of ``drop_boilerplate`` over documents with the source as host.
-LINE_DEDUP_SQL = f"""
-WITH pages AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
+def line_dedup_sql(pages: str, key: str) -> str:
+    """DuckDB form of ``drop_boilerplate`` over a query with ``key``, source and text."""
+    return f"""
+WITH docs AS ({pages}),
+pages AS (SELECT source, count(*) AS host_pages FROM docs GROUP BY source),
 lines AS (
   SELECT source, unnest(list_distinct(list_transform(string_split(text, chr(10)),
-         lambda x: trim(x, chr(32) || chr(9) || chr(13))))) AS line FROM documents),
+         lambda x: trim(x, chr(32) || chr(9) || chr(13))))) AS line FROM docs),
 counts AS (SELECT source, line, count(*) AS pages FROM lines WHERE line <> ''
            GROUP BY source, line HAVING count(*) >= {MIN_PAGES}),
 boiler AS (
@@ -86,14 +88,32 @@ boiler AS (
   JOIN pages p ON c.source IS NOT DISTINCT FROM p.source
   WHERE c.pages > {RATIO}::DOUBLE * p.host_pages GROUP BY c.source),
 split AS (
-  SELECT d.doc_id, d.lang, d.source, d.n_chars, d.text, string_split(d.text, chr(10)) AS ls,
-         coalesce(b.cut, []) AS cut
-  FROM documents d LEFT JOIN boiler b ON d.source IS NOT DISTINCT FROM b.source),
+  SELECT d.{key}, d.source, d.text, string_split(d.text, chr(10)) AS ls, coalesce(b.cut, []) AS cut
+  FROM docs d LEFT JOIN boiler b ON d.source IS NOT DISTINCT FROM b.source),
 kept AS (
   SELECT *, list_filter(ls, lambda x: NOT list_contains(cut,
          trim(x, chr(32) || chr(9) || chr(13)))) AS ks FROM split)
-SELECT doc_id, source,
+SELECT {key}, source,
        CASE WHEN len(ks) < len(ls) THEN coalesce(array_to_string(ks, chr(10)), '') ELSE text END AS text,
        coalesce(len(ls), 0)::BIGINT AS n_lines,
        coalesce(len(ls) - len(ks), 0)::BIGINT AS n_dropped
 FROM kept"""
+
+
+#: Over documents, with the source as host.
+LINE_DEDUP_SQL = line_dedup_sql("SELECT doc_id, source, text FROM documents", "doc_id")
+
+#: What is no text in a page, and the tags that begin or end a line of it.
+NO_TEXT = "(?is)<(script|style).*?</(script|style)>"
+LINE_TAGS = "(?i)</?(p|br|li|ul|div|nav|article|h1|title|head|body|html)[^>]*>"
+OTHER_TAGS = "<[^>]*>"
+HOST = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)"
+PAGES_SQL = line_dedup_sql(f"""SELECT page_id, regexp_extract(url, '{HOST}', 1) AS source,
+  regexp_replace(regexp_replace(regexp_replace(html, '{NO_TEXT}', '', 'g'), '{LINE_TAGS}', chr(10), 'g'),
+                 '{OTHER_TAGS}', '', 'g') AS text FROM pages""", "page_id")
+
+
+def page_text(html: Column) -> Column:
+    """A page's text, a line for each block."""
+    text = F.regexp_replace(F.regexp_replace(html, NO_TEXT, ""), LINE_TAGS, "\n")
+    return F.regexp_replace(text, OTHER_TAGS, "")

@@ -55,6 +55,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def line_dedup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every web page's text without its host's boilerplate lines."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("url", line_dedup.HOST, 1).alias("source"),
+        line_dedup.page_text(F.col("html")).alias("text"))
+    out = line_dedup.drop_boilerplate(pages, "source", "text", ["page_id"])
+    return out.select("page_id", "source", "text", "n_lines", "n_dropped")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside occurrences of benchmark windows."""
     out = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -87,5 +96,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_ann, op3_langid, op4_kneser_ney, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
-    op10_packing)}
-ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL}
+    op10_packing, line_dedup_pages)}
+ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL, "line_dedup_pages": line_dedup.PAGES_SQL}

@@ -83,7 +83,7 @@ def test_jaccard_join_of_near_copies_and_passages(spark, monkeypatch):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for small in (32, 3):  # with 3, regions are cut again
+    for small in (1024, 7):  # with 7, regions are cut and blocks meet
         monkeypatch.setattr(jaccard_join, "SMALL", small)
         for k, percent in ((4, 85), (5, 80)):
             got = {r.doc_id: (r.n_shingles, r.component_id) for r in

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from chartlake.llm import packing, queries, sharding
-from chartlake.llm.line_dedup import LINE_DEDUP_SQL, MIN_PAGES, RATIO
+from chartlake.llm.line_dedup import LINE_DEDUP_SQL, MIN_PAGES, PAGES_SQL, RATIO
 LARGE, MID, SMALL = (f"/root/testdata/sf{x}" for x in ("0.1", "0.01", "0.001"))
 
 
@@ -102,6 +102,15 @@ def test_line_dedup(spark):
     assert got == sorted(want) and sum(r[4] for r in got) > 0
 
 
+def test_line_dedup_of_pages(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{LARGE}/pages.parquet'")
+    columns = ["page_id", "source", "text", "n_lines", "n_dropped"]
+    got = sorted(run(spark, "line_dedup_pages", LARGE)[columns].itertuples(index=False, name=None))
+    assert got == sorted(con.execute(PAGES_SQL).df()[columns].itertuples(index=False, name=None))
+    assert sum(r[4] for r in got) > 0
+
+
 def test_decontaminate(spark):
     out = run(spark, "op7_decontaminate").set_index("doc_id")
     want = brute.contamination(read(MID, "documents", "doc_id, text"), read(MID, "benchmark", "item_id, text"))
