@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word beginnings (``^`` and 4 to 8 letters) whose presence
-is tied to the label: those with the largest chi-square over all labelled
-training rows (at least ``MIN_CHI2``, at most ``TERMS``). Document frequencies are counted over all texts. Examples are
-at most about ``MAX_EXAMPLES`` labelled rows (hash-sampled; the documented
-bound); examples with equal vectors are one entry with its counts of votes.
+The classifier is fitted on at most about ``MAX_EXAMPLES`` labelled rows
+(hash-sampled; the documented bound). Terms are words and word beginnings
+(``^`` and 4 to 8 letters) whose presence is tied to the label: those with the
+largest chi-square over these rows (at least ``MIN_CHI2``, at most ``TERMS``).
+Document frequencies are counted over all texts. Examples with equal vectors
+are one entry with its counts of votes.
 
 Entries are held in an inverted index whose postings are cut into blocks with
 the largest weight of each term in each block. A query visits blocks by their
@@ -30,12 +31,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_key, saved
+from .common import id_key, measured, saved
 from .words import chunks, split_words
 
 TERMS, MIN_CHI2, MIN_DOCS = 512, 25.0, 4
 BEGINNINGS = (4, 5, 6, 7, 8)
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 30_000
 K, BLOCK = 25, 64
 EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
@@ -205,8 +206,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
     known = saved(labels.where(F.col(label).isNotNull())
                   .groupBy(id_key(F.col("doc_id")).alias("l_id"))
                   .agg(F.max(label).cast("int").alias("y")), "toxic-labels")
-    labelled = docs.join(known, id_key(F.col(doc_id)) == F.col("l_id"))
-    total = known.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).first()
+    n = known.count()
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("toxic"), F.col("l_id")), 11) / float(2 ** 53)
+    sample = saved(known.where(place < F.lit(MAX_EXAMPLES / max(n, 1))), "toxic-sample")
+    labelled = docs.join(measured(sample), id_key(F.col(doc_id)) == F.col("l_id"))
+    total = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).first()
     rows, toxic = total["n"], total["y"] or 0
     terms = choose_terms(label_counts(labelled.select(text, "y")), rows, toxic) if (
         0 < toxic < rows) else []
@@ -217,9 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
     for r in stored.select(F.explode("t").alias("t")).groupBy("t").count().collect():
         df[r["t"]] = r["count"]  # at most TERMS rows
     idf = np.log((1 + stored.count()) / (1 + df)) + 1
-    place = F.shiftrightunsigned(F.xxhash64(F.lit("toxic"), F.col("l_id")), 11) / float(2 ** 53)
-    examples = (stored.join(known.where(place < F.lit(MAX_EXAMPLES / rows)),
-                            id_key(F.col("doc_id")) == F.col("l_id"))
+    examples = (stored.join(measured(sample), id_key(F.col("doc_id")) == F.col("l_id"))
                 .groupBy("t", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"),
                                        F.min("doc_id").alias("one")).collect())  # <= MAX_EXAMPLES
     bare = [(r["n"], r["y"]) for r in examples if not r["t"]]
