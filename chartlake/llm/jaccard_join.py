@@ -13,13 +13,19 @@ every linked pair shares a region. Sizes are the distances to the empty set:
 by the triangle inequality a document is replicated only into the size level
 above its own, and only if that is within reach.
 
-Inside a region the pivot is a document, the one with the smallest id. All
-others are measured against it exactly. Those within reach are joined to its
-component and need no comparison with each other. Regions that still hold
-several components go on: small ones are compared pair by pair where the
-triangle inequality on the distances to the pivot leaves a chance, large ones
-are cut again by slices of another hash (the argument holds for any slicing),
-and so on; at the last depth all pairs of different components are compared.
+With a few slices more, linked pairs share ``SHARED`` regions. Documents that
+share so many, or one region of very many documents, directly or through others,
+make a cluster; no link leaves a cluster. Clusters of up to ``SMALL`` documents are joined in
+one task each (many to a task). Larger ones are cut by document pivots: every
+document is measured against some pivots of its cluster exactly, goes to the
+region of the nearest one, and is replicated to each other region whose pivot
+is at most twice the linking distance farther, which by the triangle inequality
+puts every linked pair into a region together. Regions are cut again in the
+same way as long as that lessens the work. What stays large (documents about
+equally far from each other) is cut into blocks by size, and blocks meet in
+pairs unless their sizes, the distances to the empty set, rule links out. A
+task measures all pairs of its two blocks and returns only links that join
+parts not joined before, so a group of n near copies gives n links, not n^2.
 No link between different texts is missed and none is assumed.
 
 Equal sets are one class from the start, and a class is joined by its smallest
@@ -33,12 +39,14 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +55,15 @@ from .components import components
 from .words import chain, chunks, hashes, mix, split_words
 
 WORDS, PERCENT = 4, 85
-#: Regions of at most so many documents are compared pair by pair.
-SMALL = 32
-DEPTH = 3
+#: Documents that one task compares pair by pair; twice as many when two blocks meet.
+SMALL = 1024
+#: Pivots of one cut, and cuts within cuts, at most; blocks do the rest.
+PIVOTS, DEPTH = 64, 3
+#: Regions that linked documents share at least, and the size up to which all
+#: pairs of a region are counted; of larger regions all documents are taken.
+SHARED, COUNTED = 3, 128
+#: Hashes by which a set is sliced until few slices are empty.
+TRIES = 6
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -89,52 +103,79 @@ class Slicing:
         """The most by which linked sets differ if the larger is of this level."""
         return 2 * (int(self.edges[level + 1]) - 1) * (100 - self.percent) // (100 + self.percent)
 
+    def slices(self, level: int) -> tuple[int, int]:
+        """How many slices a level has, and on how many of them linked sets agree at least.
+
+        About as many more than needed as a small set of the level leaves empty.
+        """
+        most, least = self.difference(level), self.percent * int(self.edges[level]) / 100
+        agree, cap = SHARED, most + 2 + SHARED
+        while (want := int((most + agree) * math.exp(-least / (most + agree))) + 2 + SHARED) > agree and agree < cap:
+            agree = min(want, cap)
+        return most + agree, agree
+
     def signatures(self, shingles: np.ndarray, seed: int) -> np.ndarray:
-        """A hash for each (level, slice, content); linked sets that differ share one.
+        """A hash for each (level, slice, content); linked sets that differ share SHARED.
 
-        ``most + 1`` slices would do; with a few more, linked sets agree on that
-        many more, so contents of no shingle count only for the rare sets in
-        which that many slices are empty.
+        Contents of no shingle don't count at first: unless both sets leave
+        nearly as many slices empty as linked sets agree on, they share SHARED
+        that aren't. Sets that do are sliced again by another hash, and only
+        those that do in every try count their empty slices as contents.
         """
         out = []
-        spread = mix(shingles + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
         for level in self.levels(len(shingles)):
-            most = self.difference(level)
-            if not most:
+            if not self.difference(level):
                 continue  # only equal sets are linked; these are one class
-            agree = 3 + most // 25
-            slices = most + agree
-            at = (spread % np.uint64(slices)).astype(np.int64)
-            content = np.zeros(slices, np.uint64)
-            np.add.at(content, at, mix(spread))
-            filled = np.bincount(at, minlength=slices) > 0
-            names = np.flatnonzero(filled) if (~filled).sum() < agree else np.arange(slices)
-            out.append(chain([np.full(len(names), np.uint64(level)), names.astype(np.uint64),
-                              content[names]]))
+            slices, agree = self.slices(level)
+            for again in range(TRIES):
+                salt = np.uint64((seed * TRIES + again) * 0x9E3779B97F4A7C15 % (1 << 64))
+                spread = mix(shingles + salt)
+                at = (spread % np.uint64(slices)).astype(np.int64)
+                content = np.zeros(slices, np.uint64)
+                np.add.at(content, at, mix(spread))
+                filled = np.bincount(at, minlength=slices) > 0
+                sparse = (~filled).sum() > agree - SHARED
+                names = np.arange(slices) if sparse and again == TRIES - 1 else np.flatnonzero(filled)
+                out.append(chain([np.full(len(names), np.uint64(level * TRIES + again)),
+                                  names.astype(np.uint64), content[names]]))
+                if not sparse:
+                    break
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _scan(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Stored (id, n, key, signatures) of every row."""
+def _scan(docs: DataFrame, words: int) -> DataFrame:
+    """Stored (id, n, key) of every row: the size and a 128-bit hash of its set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, 1):
+                sets = list(shingle_sets(part.column(1), words))
+                keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
+                    names=["id", "n", "key"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return saved(docs.mapInArrow(run, f"id {kind}, n long, key binary"), "sets-scanned")
+
+
+def _regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(region, id) of the documents. Texts are read again for this: the
+    signatures are too many to store beside their shuffle."""
     slicing = Slicing(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
-                n, key, sigs = [], [], []
-                for s in shingle_sets(part.column(1), words):
-                    n.append(len(s))
-                    key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    sigs.append(slicing.signatures(s, 0).view(np.int64) if len(s) else [])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-                     pa.array(sigs, pa.list_(pa.int64()))], names=["id", "n", "key", "sigs"])
+                sigs = [slicing.signatures(s, 0).view(np.int64) if len(s) else []
+                        for s in shingle_sets(part.column(1), words)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigs, pa.list_(pa.int64()))],
+                                                 names=["id", "sigs"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return saved(docs.mapInArrow(run, f"id {kind}, n long, key binary, sigs array<long>"), "signatures")
+    return docs.mapInArrow(run, f"id {kind}, sigs array<long>").select(F.explode("sigs").alias("region"), "id")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, words: int, repeated: bool) -> DataFrame:
     """Stored (id, s): the shingles of the given documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,137 +186,243 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     wanted = measured(ids.select(F.col("id").alias("__id")))
-    rows = docs.join(wanted, F.col("id") == F.col("__id"), "left_semi").dropDuplicates(["id"])
+    rows = docs.join(wanted, F.col("id") == F.col("__id"), "left_semi")
+    rows = rows.dropDuplicates(["id"]) if repeated else rows
     return saved(rows.mapInArrow(run, f"id {kind}, s array<long>"), "sets")
 
 
-def _regions(rows: DataFrame) -> DataFrame:
-    """Stored (region, id, lead) of the rows (region, id) that are not their region's smallest id."""
-    from pyspark.sql import Window
-    lead = F.first("id").over(Window.partitionBy("region").orderBy("id").rowsBetween(
-        Window.unboundedPreceding, 0))
-    return saved(rows.withColumn("lead", lead).where(F.col("id") != F.col("lead"))
-                 .select("region", "id", "lead"), "regions")
-
-
-class _Joined:
-    """Links found so far, the pairs measured, and the components they make."""
-
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
-        self.measured: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def component(self, df: DataFrame, *columns: str) -> DataFrame:
-        """Adds c_<column>: the component of each id column."""
-        for c in columns:
-            if self.labels is None:
-                df = df.withColumn(f"c_{c}", F.col(c))
-            else:
-                names = measured(self.labels.select(
-                    F.col("id").alias(f"__i_{c}"), F.col("component").alias(f"__c_{c}")))
-                df = df.join(names, F.col(c) == F.col(f"__i_{c}"), "left").withColumn(
-                    f"c_{c}", F.coalesce(f"__c_{c}", c)).drop(f"__i_{c}", f"__c_{c}")
-        return df
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components that have not been measured."""
-        out = self.component(pairs, "a", "b").where("c_a <> c_b").select("a", "b").distinct()
-        if self.measured is None:
-            return out
-        m = self.measured.select(F.col("a").alias("__a"), F.col("b").alias("__b"))
-        return out.join(m, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left_anti")
-
-    def measure(self, pairs: DataFrame) -> None:
-        """Measure pairs (a, b) exactly and take the links into the components."""
-        one = self.sets.select(F.col("id").alias("__a"), F.col("s").alias("__s"))
-        two = self.sets.select(F.col("id").alias("__b"), F.col("s").alias("__t"))
-        both = (pairs.join(one, F.col("a") == F.col("__a")).join(two, F.col("b") == F.col("__b"))
-                .withColumn("common", F.size(F.array_intersect("__s", "__t")).cast("long"))
-                .withColumn("whole", F.size("__s") + F.size("__t") - F.col("common")))
-        new = saved(both.select("a", "b", (F.col("common") / F.col("whole")).alias("similarity"),
-                                (100 * F.col("common") >= self.percent * F.col("whole")).alias("linked")),
-                    "measured")
-        self.measured = new if self.measured is None else self.measured.union(new)
-        if not new.where("linked").isEmpty():
-            self.labels = components(self.measured.where("linked"))
-
-
-def _pairs_within(regions: DataFrame, joined: _Joined, percent: int, last: bool) -> tuple[DataFrame, DataFrame]:
-    """Of regions with several components: the pairs to compare, and the members of large regions."""
-    members = joined.component(regions, "id")
-    size = members.groupBy("region").agg(
-        F.count(F.lit(1)).alias("size"), F.min("c_id").alias("least"), F.max("c_id").alias("most"))
-    open_ = size.where("least <> most").select(F.col("region").alias("__r"), "size")
-    rows = saved(members.join(open_, F.col("region") == F.col("__r")).select(
-        "region", "id", "lead", "c_id", "size"), "open")
-    near = joined.measured.select(F.col("a").alias("__a"), F.col("b").alias("__b"), "similarity")
-    small = rows if last else rows.where(F.col("size") <= SMALL)
-    placed = small.join(near, (F.col("id") == F.col("__a")) & (F.col("lead") == F.col("__b")), "left")
-    x = placed.select("region", F.col("id").alias("a"), F.col("c_id").alias("ca"),
-                      F.col("similarity").alias("sa"))
-    y = placed.select(F.col("region").alias("__r"), F.col("id").alias("b"), F.col("c_id").alias("cb"),
-                      F.col("similarity").alias("sb"))
-    reach = 1 - percent / 100 + 1e-9
-    window = F.coalesce(F.abs(F.col("sa") - F.col("sb")) <= reach, F.lit(True))
-    pairs = x.join(y, (F.col("region") == F.col("__r")) & (F.col("a") > F.col("b"))
-                   & (F.col("ca") != F.col("cb")) & window).select("a", "b").distinct()
-    return pairs, rows.where(F.lit(not last) & (F.col("size") > SMALL)).select("region", "id")
-
-
-def _cut_again(large: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
-    """(region, id) with the regions cut by the slices of another hash."""
-    slicing = Slicing(percent)
+def _shared(regions: DataFrame) -> DataFrame:
+    """Stored pairs (a, b) that connect all documents which may be linked.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            regions = batch.column(0).to_numpy().view(np.uint64)
-            lists, flat = batch.column(2), batch.column(2).flatten().to_numpy().view(np.uint64)
-            ends = np.cumsum([0, *(len(v) for v in lists)])
-            for i in range(batch.num_rows):
-                sigs = slicing.signatures(flat[ends[i]:ends[i + 1]], seed)
-                new = chain([np.full(len(sigs), regions[i]), sigs]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(new), pa.array([batch.column(1)[i].as_py()] * len(new), batch.column(1).type)],
-                    names=["region", "id"])
-
-    kind = sets.schema["id"].dataType.simpleString()
-    s = sets.select(F.col("id").alias("__id"), "s")
-    return (large.join(s, F.col("id") == F.col("__id")).select("region", "id", "s")
-            .mapInArrow(run, f"region long, id {kind}"))
+    A pair that is linked shares SHARED regions: either all of them are small,
+    and it is counted there, or one is large, and both are connected to that
+    region's smallest id.
+    """
+    from pyspark.sql import Window
+    whole = Window.partitionBy("region")
+    rows = saved(regions.withColumn("size", F.count(F.lit(1)).over(whole)).withColumn(
+        "lead", F.min("id").over(whole)).where("size > 1"), "regions")
+    large = rows.where((F.col("size") > COUNTED) & (F.col("id") != F.col("lead"))).select(
+        F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    small = rows.where(F.col("size") <= COUNTED)
+    other = small.select(F.col("region").alias("__r"), F.col("id").alias("b"))
+    counted = (small.join(other, (F.col("region") == F.col("__r")) & (F.col("id") > F.col("b")))
+               .groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") >= SHARED).select("a", "b"))
+    return saved(large.union(counted), "shared")
+
+
+def _arrays(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a column of sets, and the offsets of the sets."""
+    c = column.combine_chunks()
+    sizes = np.array(pa.compute.list_value_length(c))
+    return c.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+class _Inverted:
+    """The sets of a block by shingle, to count common shingles with any set."""
+
+    def __init__(self, flat: np.ndarray, offsets: np.ndarray):
+        self.sizes = np.diff(offsets)
+        order = np.argsort(flat, kind="stable")
+        self.holder = np.repeat(np.arange(len(self.sizes)), self.sizes)[order]
+        first = np.concatenate([[True], np.diff(flat[order]) != 0]) if len(flat) else np.zeros(0, bool)
+        self.keys = flat[order][first]
+        self.cuts = np.append(np.flatnonzero(first), len(flat))
+
+    def common(self, shingles: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, shingles)
+        at = at[self.keys[np.minimum(at, len(self.keys) - 1)] == shingles] if len(self.keys) else at[:0]
+        if not len(at):
+            return np.zeros(len(self.sizes), np.int64)
+        held = np.concatenate([self.holder[self.cuts[i]:self.cuts[i + 1]] for i in at])
+        return np.bincount(held, minlength=len(self.sizes))
+
+
+class _Forest:
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, x):
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, a, b) -> bool:
+        """Whether a and b were apart until now."""
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _links(left: pa.Table, right: pa.Table, percent: int) -> list[tuple]:
+    """Links between the sets (id, s) of two tables that together join all that are linked."""
+    ids, others = left.column("id").to_pylist(), right.column("id").to_pylist()
+    flat, offsets = _arrays(left.column("s"))
+    index, forest, out = _Inverted(*_arrays(right.column("s"))), _Forest(), []
+    for i, name in enumerate(ids):
+        own = flat[offsets[i]:offsets[i + 1]]
+        common = index.common(own)
+        for j in np.flatnonzero(100 * common >= percent * (len(own) + index.sizes - common)):
+            if name != others[j] and forest.join(name, others[j]):
+                out.append((name, others[j]))
+    return out
+
+
+def _renewed(df: DataFrame) -> DataFrame:
+    """The same rows under columns of their own, for a cogroup with a relative."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+def _pairs(rows: list[tuple], kind: pa.DataType) -> pa.Table:
+    return pa.table({"a": pa.array([r[0] for r in rows], kind), "b": pa.array([r[1] for r in rows], kind)})
+
+
+def _join_small(members: DataFrame, rows: int, percent: int) -> DataFrame:
+    """Links within regions of at most SMALL rows (region, id, s), many regions to a task."""
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        t, out = t.sort_by("region"), []
+        regions = t.column("region").to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(regions) != 0, [True]]))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = t.slice(a, b - a)
+            out += _links(part, part, percent)
+        return _pairs(out, t.schema.field("id").type)
+
+    kind = members.schema["id"].dataType.simpleString()
+    return (members.withColumn("bin", F.pmod(F.xxhash64("region"), F.lit(-(-rows // SMALL) or 1)))
+            .groupBy("bin").applyInArrow(run, f"a {kind}, b {kind}"))
+
+
+def _join_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Links within large regions, by blocks of sizes that meet in pairs."""
+    step = 1.08
+    band = F.floor(F.log(F.size("s").cast("double")) / math.log(step)).cast("int")
+    rows = members.withColumn("band", band)
+    n = rows.groupBy("region", "band").agg(F.count(F.lit(1)).alias("rows"))
+    blocks = saved(n.select("region", "band", F.explode(F.sequence(
+        F.lit(0), F.ceil(F.col("rows") / SMALL).cast("int") - 1)).alias("chunk"), "rows"), "blocks")
+    reach = math.ceil(math.log(100 / percent) / math.log(step)) + 1
+    x = blocks.select("region", F.struct("band", "chunk").alias("x"))
+    y = blocks.select(F.col("region").alias("__r"), F.struct("band", "chunk").alias("y"))
+    meet = saved(x.join(y, (F.col("region") == F.col("__r")) & (F.col("x") <= F.col("y"))
+                        & (F.col("y.band") - F.col("x.band") <= reach)).select("region", "x", "y"), "meetings")
+    chunks_of = n.select(F.col("region").alias("__r"), F.col("band").alias("__b"),
+                         F.ceil(F.col("rows") / SMALL).alias("chunks"))
+    placed = rows.join(chunks_of, (F.col("region") == F.col("__r")) & (F.col("band") == F.col("__b"))).select(
+        "region", "id", "s", F.struct("band", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+                                      .alias("chunk")).alias("at"))
+
+    def side(name: str) -> DataFrame:
+        m = meet.withColumnRenamed("region", "__r")
+        return placed.join(m, (F.col("region") == F.col("__r")) & (F.col("at") == F.col(name))).select(
+            "region", F.col("x").alias("x"), F.col("y").alias("y"), "id", "s")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _pairs(_links(left, right, percent), left.schema.field("id").type)
+
+    kind = members.schema["id"].dataType.simpleString()
+    keys = ["region", "x", "y"]
+    return side("x").groupBy(*keys).cogroup(_renewed(side("y")).groupBy(*keys)).applyInArrow(run, f"a {kind}, b {kind}")
+
+
+def _cut(members: DataFrame, sizes: DataFrame, percent: int, depth: int) -> DataFrame:
+    """(region, id, child, home): the Voronoi regions of document pivots that each member goes to."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(depth), "id"), 11) / float(2 ** 53)
+    sized = members.join(sizes.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r")).drop("__r")
+    chunk_count = F.ceil(F.col("size") / SMALL).cast("int")
+    asked = sized.withColumn("chunk", F.pmod(F.xxhash64("id"), chunk_count).cast("int")).select(
+        "region", "chunk", "id", "s")
+    pivots = (sized.where(place < F.least(2 * chunk_count, F.lit(PIVOTS)) / F.col("size"))
+              .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunk_count - 1)))
+              .select("region", "chunk", "id", "s"))
+    window = 2 * (1 - percent / 100) + 1e-9
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, out = left.column("id").to_pylist(), ([], [], [], [])
+        right = right.sort_by("id")
+        names = right.column("id").to_pylist() or [None]
+        flat, offsets = _arrays(left.column("s"))
+        index = _Inverted(*_arrays(right.column("s")))
+        for i, name in enumerate(ids):
+            own = flat[offsets[i]:offsets[i + 1]]
+            common = index.common(own)
+            far = 1 - common / (len(own) + index.sizes - common) if right.num_rows else np.zeros(1)
+            home = int(far.argmin())
+            for j in np.flatnonzero(far <= far[home] + window):
+                for column, value in zip(out, (left.column("region")[i].as_py(), name, names[j], j == home)):
+                    column.append(value)
+        kind = left.schema.field("id").type
+        return pa.table({"region": pa.array(out[0], pa.int64()), "id": pa.array(out[1], kind),
+                         "pivot": pa.array(out[2], kind), "home": pa.array(out[3], pa.bool_())})
+
+    kind = members.schema["id"].dataType.simpleString()
+    got = asked.groupBy("region", "chunk").cogroup(_renewed(pivots).groupBy("region", "chunk")).applyInArrow(
+        run, f"region long, id {kind}, pivot {kind}, home boolean")
+    return saved(got.withColumn("child", F.xxhash64(F.lit(depth), "region", "pivot")), "voronoi")
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    return members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+
+
+def _join_regions(members: DataFrame, sets: DataFrame, percent: int, depth: int = 0) -> list[DataFrame]:
+    """Stored links (a, b) within the regions (region, id)."""
+    sizes = saved(_sized(members), "region-sizes")
+
+    def of(some: DataFrame) -> DataFrame:
+        """The members (region, id, s) of some regions; the sets join last, and once."""
+        chosen = members.join(some.select(F.col("region").alias("__r")), F.col("region") == F.col("__r"), "left_semi")
+        return sets.select(F.col("id").alias("__id"), "s").join(
+            measured(chosen), F.col("id") == F.col("__id")).select("region", "id", "s")
+
+    small = sizes.where(F.col("size") <= SMALL)
+    rows = small.agg(F.sum("size")).first()[0] or 0
+    out = [saved(_join_small(of(small), rows, percent), "links")]
+    large = sizes.where(F.col("size") > SMALL)
+    if large.isEmpty():
+        return out
+    if depth < DEPTH:
+        cut = _cut(of(large), large, percent, depth)
+        work = (cut.groupBy("region", "child").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("region").agg(F.sum(F.col("n").cast("double") ** 2).alias("work")))
+        better = saved(work.join(large.withColumnRenamed("region", "__r"), (F.col("region") == F.col("__r"))
+                                 & (F.col("work") < 0.6 * F.col("size").cast("double") ** 2)).select("region"),
+                       "better")
+        if not better.isEmpty():
+            inner = cut.join(better.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r"),
+                             "left_semi").select(F.col("child").alias("region"), "id")
+            out += _join_regions(saved(inner, "regions"), sets, percent, depth + 1)
+            large = large.join(better.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r"),
+                               "left_anti")
+    out.append(saved(_join_blocks(of(large), percent), "links"))
+    return out
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
          percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    scan = _scan(texts, words, percent)
+    scan = _scan(texts, words)
     classes = saved(scan.where("n > 0").groupBy("key").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
     copies = measured(
         scan.where("n > 0").select("id", F.col("key").alias("__key"))
         .join(classes.where("rows > 1"), F.col("__key") == F.col("key"))
         .where(~F.col("id").eqNullSafe(F.col("rep"))).select(F.col("id").alias("__id")).distinct())
-    single = scan.select("id", "sigs").where(F.col("id").isNotNull()).join(
-        copies, F.col("id") == F.col("__id"), "left_anti").dropDuplicates(["id"])
-    regions = _regions(single.select(F.explode("sigs").alias("region"), "id"))
-    ids = regions.select("id").union(regions.select("lead")).distinct()
-    sets = _sets(texts, saved(ids, "ids"), words)
-    joined = _Joined(sets, percent)
-    for depth in range(1, DEPTH + 1):
-        leads = saved(regions.groupBy(F.col("id").alias("a"), F.col("lead").alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n")), "leads")
-        if depth == 1:  # the pivot met in most regions joins most documents for good
-            best = leads.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-            joined.measure(best)
-        joined.measure(joined.apart(leads.select("a", "b")))
-        pairs, large = _pairs_within(regions, joined, percent, depth == DEPTH)
-        joined.measure(joined.apart(pairs))
-        if depth == DEPTH or large.isEmpty():
-            break
-        regions = _regions(_cut_again(large, sets, percent, depth))
-    of = classes.select(F.col("key").alias("__key"), "rep")
+    single = texts.where(F.col("id").isNotNull()).join(copies, F.col("id") == F.col("__id"), "left_anti")
+    repeated = not scan.groupBy("id").count().where("count > 1").isEmpty()
+    single = single.dropDuplicates(["id"]) if repeated else single  # only then worth a shuffle
+    clusters = components(_shared(_regions(single, words, percent)))
+    sets = _sets(texts, clusters, words, repeated)
+    members = clusters.select(F.xxhash64("component").alias("region"), "id")
+    links = functools.reduce(DataFrame.union, _join_regions(members, sets, percent))
+    labels = components(links).select(F.col("id").alias("__rep"), "component")
+    of = classes.select(F.col("key").alias("__key"), "rep").join(
+        measured(labels), F.col("rep") == F.col("__rep"), "left").select(
+        "__key", F.coalesce("component", "rep").alias("component"))
     out = scan.select("id", "n", "key").join(of, (F.col("key") == F.col("__key")) & (F.col("n") > 0), "left")
-    out = joined.component(out, "rep") if joined.labels is not None else out.withColumn("c_rep", F.col("rep"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("c_rep")).otherwise(F.col("id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
