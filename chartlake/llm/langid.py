@@ -35,6 +35,8 @@ PER_LANGUAGE = 2000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-3, 1e-3
 UNKNOWN = "und"
+#: Text bytes handled at once; arrays of code points take some thirty times that.
+PORTION = 2 << 20
 
 _LETTERS: list[np.ndarray] = []
 
@@ -99,7 +101,7 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(1 << BITS, dtype=np.int64), 0
         for batch in batches:
-            for part in chunks(batch, 0):
+            for part in chunks(batch, 0, PORTION):
                 for buckets, _ in grams(part.column(0)):
                     df[buckets] += 1
                     n += 1
@@ -179,7 +181,7 @@ def train(docs: DataFrame, lang: str, text: str, key: str) -> dict | None:
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, 2):
+            for part in chunks(batch, 2, PORTION):
                 pairs = [(a, weighted(a, c, idf)) for a, c in grams(part.column(2))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1),
@@ -218,7 +220,7 @@ def predict(docs: DataFrame, model: dict | None, text: str = "text") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in chunks(batch, len(names)):
+            for part in chunks(batch, len(names), PORTION):
                 langs, scores = [], []
                 for buckets, counts in grams(part.column(len(names))):
                     if m is None or not len(buckets):

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import numbered, saved
+from .words import give_back
 
 WINDOW = 2048
 END_ID = 1
@@ -76,6 +77,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, vocab: str | None = None) -> D
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              names=PIECES.fieldNames())
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
