@@ -27,6 +27,8 @@ ENGINE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of whole texts: a batch is in the memory of the JVM and of a worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
