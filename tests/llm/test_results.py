@@ -159,6 +159,25 @@ def test_packing(spark):
     assert len(fills) == -(-sum(fills) // 2048)  # no fewer sequences are possible
 
 
+def test_packing_of_added_tokens(spark):
+    """Texts that hold an added token's string, against the tokenizer at its defaults."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y", " <|endoftext|><|endoftext|>\n\n",
+             "<|endoftext|", "<|endof<|endoftext|>text|>", "a\n<|endoftext|>\n\n\nb  ", "<|ENDOFTEXT|>",
+             "word <|endoftext|> " * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.start): (r.length, r.ids_crc32, r.doc_tokens) for r in packing.pack(docs).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        for start in range(0, len(ids), 2048):
+            part = ids[start:start + 2048]
+            want[i, start] = (len(part), zlib.crc32(part.tobytes()), len(ids))
+    assert got == want
+
+
 @pytest.mark.parametrize("histogram", [{}, {2048: 3}, {1: 5000}, {1000: 7, 700: 2, 348: 2, 24: 1}, {2047: 2, 2: 1}])
 def test_plan_covers_the_histogram(histogram):
     used = {}
