@@ -221,3 +221,29 @@ def test_pipeline_stages(spark):
     clean = {r.doc_id for r in corpus_pipeline.benchmark(spark, docs, sf).collect()}
     assert clean == {i for i, (_, n, _) in hits.items() if not n}
     docs.unpersist()
+
+
+def test_pipeline_tells_rows_of_null_and_repeated_ids_apart(spark, tmp_path):
+    """A row goes only if its own text is a linked copy or holds a benchmark window."""
+    text = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    window = text("w", 10)
+    rows = [(None, text("a")), (None, f"{text('b')} {window}"), (None, text("c")),
+            (1, text("d")), (1, text("e")), (1, f"{window} {text('f')}"),
+            (2, text("g")), (None, text("g")), (2, text("g")), (0, text("g") + " more"),
+            (3, text("h")), (3, text("h")), (4, text("i")), (None, text("i")), (None, text("j")), (None, text("j")),
+            # parts of the window at positions that make it up if texts of one id mix
+            (None, f"{text('w', 5)} {text('k')}"), (None, f"{text('l', 5)} w5 w6 w7 w8 w9 {text('l')}"),
+            (5, f"{text('w', 5)} {text('m')}"), (5, f"{text('n', 5)} w5 w6 w7 w8 w9 {text('n')}")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, window)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    some = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=key)
+    clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert some(clean) == sorted((r for r in rows if window not in r[1]), key=key)
+    alone = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    first = {}
+    for i, t in sorted(rows, key=key):  # the smallest id of each text, 0 for both texts of g
+        first.setdefault(t.removesuffix(" more"), (i, t))
+    assert alone.columns == docs.columns and some(alone) == sorted(first.values(), key=key)
