@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 import brute
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -247,3 +248,22 @@ def test_pipeline_tells_rows_of_null_and_repeated_ids_apart(spark, tmp_path):
     for i, t in sorted(rows, key=key):  # the smallest id of each text, 0 for both texts of g
         first.setdefault(t.removesuffix(" more"), (i, t))
     assert alone.columns == docs.columns and some(alone) == sorted(first.values(), key=key)
+
+
+def test_kneser_ney_without_a_model_file_fails(spark, tmp_path):
+    """Every bucket has its files, and one that can't be seen is an error."""
+    import os
+
+    import numpy as np
+    import pytest
+    model = kneser_ney.train(spark.createDataFrame([("a b",)], "text string"))
+    names = {f"{kind}-{i}.{c}" for i in range(model["buckets"]) for kind, columns in
+             (("pair", ("key", "n")), ("word", ("key", "tokens", "follows", "freed"))) for c in columns}
+    assert set(os.listdir(model["folder"])) == names
+    word, before, _ = kneser_ney.token_pairs(pa.array(["a c"]))
+    assert list(kneser_ney.logs(model, word, before)[1]) == [1, 0, 1]
+    for folder in (str(tmp_path), str(tmp_path / "unseen")):
+        with pytest.raises(FileNotFoundError):
+            kneser_ney.logs({**model, "folder": folder}, word, before)
+    with pytest.raises(FileNotFoundError):
+        kneser_ney._store(str(tmp_path / "unseen" / "pair-0.n"), np.zeros(1, "<u4"))
