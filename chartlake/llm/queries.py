@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, gam, jaccard_join, kneser_ney, langid, line_dedup, packing, sharding, toxicity
+from . import (ann, decontaminate, divergence, gam, jaccard_join, kneser_ney, langid, licenses, line_dedup, packing,
+               sharding, toxicity, whitening)
 from .common import held_out, table, unsigned_crc32
 
 SHARDS = 8
@@ -94,7 +95,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's distance to each other source of its language, and the terms it uses most above it."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 32 principal components, at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and the license templates that it holds."""
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                      F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score", "matches")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_ann, op3_langid, op4_kneser_ney, op5_jaccard_join, op6_line_dedup, op7_decontaminate, op8_toxicity, op9_quality,
-    op10_packing, line_dedup_pages)}
-ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL, "line_dedup_pages": line_dedup.PAGES_SQL}
+    op10_packing, op11_divergence, op12_whitening, op13_licenses, line_dedup_pages)}
+ORACLE = {"op6_line_dedup": line_dedup.LINE_DEDUP_SQL, "line_dedup_pages": line_dedup.PAGES_SQL,
+          "op11_divergence": divergence.AUDIT_SQL}
