@@ -11,6 +11,9 @@ Layout: ``<root>/<table>/source=<s>/snapshot_time=<t>/part-*.parquet``.
   checkpoint folder first and then swapped in, so a job never overwrites a
   path it is still reading; a note beside the table lets the next rewrite or
   load finish a swap that was cut short.
+
+A root that has a catalogue (:mod:`chartlake.sources.published`; every load
+makes one) is read and changed through it by the same functions.
 """
 
 from __future__ import annotations
@@ -34,8 +37,17 @@ def table_path(root: str, table: str) -> str:
     return os.path.join(root, table)
 
 
+def _catalogued(spark: SparkSession, root: str):
+    """The functions for published tables, if ``root`` is a published warehouse."""
+    from chartlake.sources import published
+    return published if published.exists(spark, root) else None
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Scan a warehouse table with its declared schema."""
+    published = _catalogued(spark, root)
+    if published:
+        return published.read(spark, root, table)
     path = table_path(root, table)
     st = schemas.WAREHOUSE[table]
     # partition columns come back last; restore the declared order
@@ -62,6 +74,13 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def ready(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the table's declared form; a row without a snapshot fails the job that runs it."""
+    check_schema(df, table)
+    lost = F.raise_error(F.lit(f"{table}: a row has no snapshot time")).cast("timestamp_ntz")
+    return conform(df, table).withColumn("snapshot_time", F.coalesce("snapshot_time", lost))
+
+
 def write_snapshot(df: DataFrame, root: str, table: str, snapshot_time=None,
                    n_files: int | None = None, partition_by: Sequence[str] = PARTITIONS,
                    mode: str = "replace") -> None:
@@ -87,9 +106,12 @@ def write_snapshot(df: DataFrame, root: str, table: str, snapshot_time=None,
         df = df.withColumn("snapshot_time", round_to_hour(parse_iso(F.lit(str(snapshot_time)))))
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be replace or append, not {mode!r}")
-    check_schema(df, table)
-    lost = F.raise_error(F.lit(f"{table}: a row has no snapshot time")).cast("timestamp_ntz")
-    df = conform(df, table).withColumn("snapshot_time", F.coalesce("snapshot_time", lost))
+    published = _catalogued(df.sparkSession, root)
+    if published:
+        published.publish(df.sparkSession, root, {table: df}, n_files=n_files,
+                          kind=published.ADD if mode == "append" else published.REPLACE)
+        return
+    df = ready(df, table)
     parts = list(partition_by)
     keys = list(schemas.KEYS[table])
     if n_files:
@@ -126,6 +148,10 @@ def load_snapshot(root: str, tracks: DataFrame, artists: DataFrame, genres: Data
                   snapshot_time=None, n_files: int | None = None) -> None:
     """Ordered load: artists, then tracks, then genres (parents first)."""
     frames = {"artists": artists, "tracks": tracks, "track_genres": genres}
+    published = _catalogued(tracks.sparkSession, root)
+    if published and snapshot_time is None:
+        published.publish(tracks.sparkSession, root, frames, n_files=n_files)
+        return
     for t in WRITE_ORDER:
         write_snapshot(frames[t], root, t, snapshot_time, n_files)
 
@@ -151,6 +177,10 @@ def drop_snapshot(spark: SparkSession, root: str, at, source: str,
                   tables: Sequence[str] = DELETE_ORDER) -> list[str]:
     """Delete one snapshot of one source from every table - children first -
     by removing partition folders. Returns the folders removed."""
+    published = _catalogued(spark, root)
+    if published:
+        instant = F.lit(str(at)).cast("timestamp_ntz")
+        return published.drop(spark, root, (F.col("source") == source) & (F.col("snapshot_time") == instant), tables)
     removed = []
     for t in tables:
         d = _partition_dir(root, t, source, at)
@@ -177,6 +207,10 @@ def rewrite_table(spark: SparkSession, root: str, table: str,
     empty removed (dynamic overwrite would leave them in place). If the job
     dies meanwhile, the next rewrite finds the note and finishes it first.
     """
+    published = _catalogued(spark, root)
+    if published:
+        published.rewrite(spark, root, table, fn, where)
+        return
     finish_rewrite(spark, root, table)
     current = read_table(spark, root, table)
     target = table_path(root, table)
