@@ -9,3 +9,5 @@ from chartlake.functions.time import (  # noqa: F401
     coalesce_timestamp, day_of, is_iso_datetime, iso_text, parse_iso, round_to_hour,
     same_day,
 )
+from chartlake.functions.variantpath import parse as parse_variant  # noqa: F401
+from chartlake.functions.variantpath import variant_path  # noqa: F401

@@ -4,7 +4,8 @@ from chartlake.operators.dedupe import dedupe_latest  # noqa: F401
 from chartlake.operators.filters import conjunction, optional_filters  # noqa: F401
 from chartlake.operators.frontier import missing_ids, missing_report, request_frontier  # noqa: F401
 from chartlake.operators.genres import (  # noqa: F401
-    distinct_genres, genre_bridge, genres_list, genres_of,
+    distinct_genres, folded_genres, folded_genres_of, genre_bridge, genres_list, genres_of, same_genre,
+    with_folded_genre,
 )
 from chartlake.operators.nested import explode_fields, explode_one, explode_two, flatten_distinct  # noqa: F401
 from chartlake.operators.quality import (  # noqa: F401

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.operators.dedupe import dedupe_latest
@@ -87,3 +87,36 @@ def distinct_genres(track_genres: DataFrame, case_insensitive: bool = False) ->
     if case_insensitive:
         g = g.cast("string collate UNICODE_CI_AI")
     return track_genres.select(g.alias("genre")).where(F.col("genre").isNotNull()).distinct()
+
+
+#: Case and accents don't tell two genres apart; ids are compared byte by byte all the same.
+GENRE_COLLATION = "UNICODE_CI_AI"
+
+
+def same_genre(genre, name) -> Column:
+    """The genre is ``name``, written in any case and with any accents."""
+    left, right = (F.collate(F.col(c) if isinstance(c, str) else c, GENRE_COLLATION) for c in (genre, name))
+    return left == right
+
+
+def folded_genres(track_genres: DataFrame) -> DataFrame:
+    """``(genre)``: one spelling of each genre, the first in byte order, whatever its case and accents."""
+    named = track_genres.where(F.col("genre").isNotNull())
+    return named.groupBy(F.collate("genre", GENRE_COLLATION).alias("__fold")).agg(
+        F.min("genre").alias("genre")).select("genre")
+
+
+def with_folded_genre(rows: DataFrame, genres: DataFrame, column: str = "genre") -> DataFrame:
+    """``rows`` with ``column`` in the spelling of ``genres`` (unique under the collation); rows whose
+    genre isn't there go. A small side is left to Spark to broadcast."""
+    side = genres.select(F.col("genre").alias("__genre"))
+    out = rows.join(side, same_genre(F.col(column), F.col("__genre")))
+    return out.withColumn(column, F.col("__genre")).drop("__genre")
+
+
+def folded_genres_of(track_genres: DataFrame, tracks: DataFrame, by: str = "track_id",
+                     along: Sequence[str] = ("snapshot_time", "source"), value=None) -> DataFrame:
+    """:func:`genres_of` with the genres folded: distinct ``(by, genre)``, genres under their collation."""
+    pairs = genres_of(track_genres, tracks, by, along, value)
+    return pairs.groupBy(by, F.collate("genre", GENRE_COLLATION).alias("__fold")).agg(
+        F.min("genre").alias("genre")).select(by, "genre")

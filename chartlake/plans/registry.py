@@ -900,3 +900,7 @@ FLAGSHIP = "tracks_at_snapshot"
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     return QUERIES[name](spark, sf_dir)
+
+
+# the queries over stored state register themselves here
+from chartlake.plans import registry_stored  # noqa: E402,F401

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.functions import PathError, json_path
+from chartlake.functions import PathError, json_path, parse_variant, variant_path
 
 # the reference's unit-test shapes; names and expected values as listed in
 # FIXTURES.md section 1 (fixed values), the other fields are our own
@@ -90,3 +90,44 @@ def test_property_against_literal_values(spark, doc, path):
     if isinstance(want, dict):
         got = got.asDict(recursive=True) if got is not None else None
     assert _plain(got) == _plain(want)
+
+
+# --- the same paths on Variant values: no schema is declared ---------------------------
+
+def _variant(spark, data, path, kind="string"):
+    import json
+    df = spark.createDataFrame([(json.dumps(data),)], "j string")
+    return df.select(variant_path(parse_variant("j"), path, kind).alias("v")).first().v
+
+
+def test_reference_cases_on_variants(spark):
+    assert _variant(spark, DATA1, "person.[0].name") == "homie"
+    assert _variant(spark, DATA1, "person.[*].name") == ["homie", "bro"]
+    assert _variant(spark, DATA2, "[*].object") == ["customer", "bat"]
+    assert _plain(_variant(spark, DATA3, "[*].[*].name")) == [["a", "b"], ["b", "a"], ["c", "c"]]
+
+
+def test_edges_on_variants(spark):
+    assert _variant(spark, DATA1, "missing.[0].name") is None
+    assert _variant(spark, DATA1, "person.[5].name") is None
+    assert _variant(spark, {"person": [None, {"name": "z"}]}, "person.[*].name") == [None, "z"]
+    assert _variant(spark, DATA3, "[1:3].[0].name") == ["b", "c"]
+    assert _variant(spark, DATA3, "[2:].[*].name") == [["c", "c"]]
+    assert _variant(spark, DATA3, "[3:2].[0].name") == []
+    assert _variant(spark, DATA1, "[0]") is None
+    assert _variant(spark, {"a": 1}, "a.b.c") is None and _variant(spark, {"a": "x"}, "a", "bigint") is None
+    assert _variant(spark, {"a b": {"c.d": 3}}, "a b", "map<string,bigint>") == {"c.d": 3}
+    assert _variant(spark, {"a": [1, "x", 2]}, "a.[*]", "bigint") == [1, None, 2]
+    for wrong in ("person.[x].name", "it's"):
+        with pytest.raises(PathError):
+            variant_path("j", wrong)
+    with pytest.raises(Exception, match="Not a valid path"):
+        _variant(spark, DATA1, "person.name")
+    torn = spark.createDataFrame([("{",), (None,), ("null",)], "j string")
+    assert [r.v for r in torn.select(variant_path(parse_variant("j"), "a").alias("v")).collect()] == [None] * 3
+
+
+def test_variants_differ_from_row_to_row(spark):
+    df = spark.createDataFrame([('{"a": [{"b": 1}]}',), ('{"a": {"b": 2}}',), ('{"c": 3}',)], "j string")
+    got = df.select(variant_path(parse_variant("j"), "a.[0].b", "bigint").alias("v")).collect()
+    assert [r.v for r in got] == [1, None, None]

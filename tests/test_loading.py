@@ -207,3 +207,34 @@ def test_times_need_a_date_and_keep_their_offset(spark, tmpdir_path, land):
 def test_reads_return_everything_by_default(spark):
     g = spark.range(80).selectExpr("cast(id as string) AS genre")
     assert reads.genres(g).count() == 80 and reads.genres(g, limit=50).count() == 50
+
+
+def test_replayed_documents_rebuild_nothing(spark, tmpdir_path, land, monkeypatch):
+    from chartlake.streaming import incremental
+    loads, load = [], job.load_snapshots
+
+    def counted(spark_, landing, warehouse, source, snapshots, *args, **how):
+        loads.append(sorted(str(r[0]) for r in snapshots.distinct().collect()))
+        return load(spark_, landing, warehouse, source, snapshots, *args, **how)
+
+    monkeypatch.setattr(incremental.job, "load_snapshots", counted)
+    out, ckpt = os.path.join(tmpdir_path, "wh"), os.path.join(tmpdir_path, "c")
+    how, keep = {"partition_by_run": False}, {"remember": "1 day"}
+    first = chart(spark, RUN, ("T1", "A1"))
+    root = land([first, chart(spark, NEXT, ("T1", "A1"))], [artists(spark, RUN, "A1"), artists(spark, NEXT, "A1")], **how)
+    stream(spark, root, out, ckpt, **keep)
+    assert loads == [["2024-01-15 10:00:00", "2024-01-15 12:00:00"]]
+    state = content(spark, out)
+    land([first, first], [artists(spark, RUN, "A1")], **how)  # landed again
+    stream(spark, root, out, ckpt, **keep)
+    assert len(loads) == 1 and content(spark, out) == state
+    land([first, chart(spark, RUN, ("T2", "A1"))], [], **how)  # again, and a late page
+    stream(spark, root, out, ckpt, **keep)
+    assert loads[1:] == [["2024-01-15 10:00:00"]] and W.read_table(spark, out, "tracks").count() == 3
+    # the state forgets what is older than a day before the latest run
+    land([chart(spark, "2024-03-01T10:00:00+00:00", ("T5", "A1"))], [], **how)
+    query = ingest(spark, root, out, "spotify", checkpoint=ckpt, **keep)
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept[-1] == 1
+
