@@ -36,6 +36,22 @@ def id_key(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit("\u0000"))
 
 
+def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a ``__key`` for each row, and whether the rows had to be numbered for it.
+
+    The key is the id if it tells all rows apart. Otherwise rows are numbered
+    in the order of their ids, null last; equal rows are spread by their
+    place, so a group of copies isn't sorted in one task, and the numbers are
+    stored, so every later job reads the same.
+    """
+    ids = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    if ids.where((F.col("n") > 1) | F.col(id_col).isNull()).isEmpty():
+        return docs.withColumn("__key", F.col(id_col)), False
+    place = docs.withColumn("__place", F.monotonically_increasing_id())
+    ordered = place.orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64("text"), "__place")
+    return saved(ordered.drop("__place").withColumn("__key", F.monotonically_increasing_id()), "keyed"), True
+
+
 def unsigned_crc32(text: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
 

@@ -16,9 +16,10 @@ Only built-in functions run. Benchmark tables are broadcast when, counted
 beforehand, they are small; otherwise the same joins shuffle.
 
 Defined results: null and empty texts have no words and are never hit; items
-without words have no windows; equal items each count; a null doc_id is one
-more id; whole copies of a row give equal rows each (a doc_id names one text);
-empty tables give no matches; other columns are ignored.
+without words have no windows; equal items each count; :func:`report` tells rows
+with a null or repeated doc_id apart, so each is judged by its own text (for
+:func:`index` a doc_id names one text); empty tables give no matches; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_key, measured, saved
+from .common import id_key, keyed, measured, saved
 
 WINDOW_WORDS = 10
 #: What separates words before A-Z are lowered.
@@ -139,10 +140,11 @@ def matches(postings: DataFrame, wins: DataFrame, slop: int = 0) -> DataFrame:
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Per document: n_words, n_hit, the items with occurring windows and their spans' union."""
+    """Per row: n_words, n_hit, the items with occurring windows and their spans' union."""
     wins = saved(windows(items, size=size), "windows")
     terms = wins.select(F.explode("words").alias("term")).distinct()
-    postings = index(docs, terms)
+    rows, numbered = keyed(docs.select("doc_id", "text"), "doc_id")
+    postings = index(rows, terms, "__key")
     lens = wins.select(F.col("wid").alias("__wid"), "len").distinct()
     found = saved(matches(postings, wins).join(measured(lens), F.col("wid") == F.col("__wid"))
                   .select("doc", "wid", "start", "len"), "matches")
@@ -159,7 +161,12 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataF
     ends = postings.where(F.col("term") == END).select("doc", F.col("pos").cast("long").alias("n_words"))
     key = id_key(F.col("doc"))
     none = F.array().cast("array<string>")
-    return (ends.join(hits, key == F.col("h_doc"), "left").join(of, key == F.col("i_doc"), "left")
-            .select(F.col("doc").alias("doc_id"), "n_words",
-                    F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce("items", none).alias("items")))
+    out = (ends.join(hits, key == F.col("h_doc"), "left").join(of, key == F.col("i_doc"), "left")
+           .select(F.col("doc").alias("doc_id"), "n_words",
+                   F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                   F.coalesce("items", none).alias("items")))
+    if not numbered:
+        return out
+    names = rows.select(F.col("__key").alias("__k"), F.col("doc_id").alias("__id"))
+    return out.join(names, F.col("doc_id") == F.col("__k")).select(
+        F.col("__id").alias("doc_id"), "n_words", "n_hit", "items")

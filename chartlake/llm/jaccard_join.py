@@ -32,9 +32,9 @@ Equal sets are one class from the start, and a class is joined by its smallest
 id. Shingles are 64-bit hashes of word hashes.
 
 Defined results: null, empty and word-free texts have empty sets and link with
-nothing; texts with fewer words than a shingle are one shingle; a class with no
-id other than null has a null component; repeated rows give equal rows; other
-columns are ignored.
+nothing; texts with fewer words than a shingle are one shingle; rows with a null or
+repeated id are told apart, each linked by its own text; a component with no id
+other than null has a null component_id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import measured, saved
+from .common import keyed, measured, saved
 from .components import components
 from .words import chain, chunks, hashes, mix, split_words
 
@@ -175,7 +175,7 @@ def _regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, sigs array<long>").select(F.explode("sigs").alias("region"), "id")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int, repeated: bool) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """Stored (id, s): the shingles of the given documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,29 +187,34 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int, repeated: bool) -> DataFr
     kind = docs.schema["id"].dataType.simpleString()
     wanted = measured(ids.select(F.col("id").alias("__id")))
     rows = docs.join(wanted, F.col("id") == F.col("__id"), "left_semi")
-    rows = rows.dropDuplicates(["id"]) if repeated else rows
     return saved(rows.mapInArrow(run, f"id {kind}, s array<long>"), "sets")
 
 
 def _shared(regions: DataFrame) -> DataFrame:
     """Stored pairs (a, b) that connect all documents which may be linked.
 
-    A pair that is linked shares SHARED regions: either all of them are small,
-    and it is counted there, or one is large, and both are connected to that
-    region's smallest id.
+    A pair that is linked shares SHARED regions: either one of them is large,
+    and both are connected to that region's smallest id, or all are small, and
+    it is counted there. First each document is counted with the smallest ids
+    of its regions alone, so a group of copies becomes one part by as many
+    pairs as it has documents; then the parts, each once in a region, are
+    counted with each other. Two linked documents of different parts share
+    their regions as the parts do, so none is missed.
     """
-    from pyspark.sql import Window
-    whole = Window.partitionBy("region")
-    rows = saved(regions.withColumn("size", F.count(F.lit(1)).over(whole)).withColumn(
-        "lead", F.min("id").over(whole)).where("size > 1"), "regions")
-    large = rows.where((F.col("size") > COUNTED) & (F.col("id") != F.col("lead"))).select(
-        F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    small = rows.where(F.col("size") <= COUNTED)
+    sized = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")).where("size > 1")
+    rows = saved(regions.join(sized.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r")).drop("__r"),
+                 "regions")
+    near = rows.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    led = saved(near.where((F.col("size") > COUNTED) | (F.col("n") >= SHARED)).select("a", "b"), "led")
+    parts = measured(components(led).select(F.col("id").alias("__id"), F.col("component").alias("__part")))
+    small = saved(rows.where(F.col("size") <= COUNTED).join(parts, F.col("id") == F.col("__id"), "left").select(
+        "region", F.coalesce("__part", "id").alias("id")).distinct(), "parts")
     other = small.select(F.col("region").alias("__r"), F.col("id").alias("b"))
     counted = (small.join(other, (F.col("region") == F.col("__r")) & (F.col("id") > F.col("b")))
                .groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
                .where(F.col("n") >= SHARED).select("a", "b"))
-    return saved(large.union(counted), "shared")
+    return saved(led.union(counted), "shared")
 
 
 def _arrays(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -404,19 +409,18 @@ def _join_regions(members: DataFrame, sets: DataFrame, percent: int, depth: int
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
          percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows, numbered = keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id")
+    texts = rows.select(F.col("__key").alias("id"), "text")
     scan = _scan(texts, words)
     classes = saved(scan.where("n > 0").groupBy("key").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
     copies = measured(
         scan.where("n > 0").select("id", F.col("key").alias("__key"))
         .join(classes.where("rows > 1"), F.col("__key") == F.col("key"))
-        .where(~F.col("id").eqNullSafe(F.col("rep"))).select(F.col("id").alias("__id")).distinct())
-    single = texts.where(F.col("id").isNotNull()).join(copies, F.col("id") == F.col("__id"), "left_anti")
-    repeated = not scan.groupBy("id").count().where("count > 1").isEmpty()
-    single = single.dropDuplicates(["id"]) if repeated else single  # only then worth a shuffle
+        .where(F.col("id") != F.col("rep")).select(F.col("id").alias("__id")))
+    single = texts.join(copies, F.col("id") == F.col("__id"), "left_anti")
     clusters = components(_shared(_regions(single, words, percent)))
-    sets = _sets(texts, clusters, words, repeated)
+    sets = _sets(texts, clusters, words)
     members = clusters.select(F.xxhash64("component").alias("region"), "id")
     links = functools.reduce(DataFrame.union, _join_regions(members, sets, percent))
     labels = components(links).select(F.col("id").alias("__rep"), "component")
@@ -424,5 +428,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         measured(labels), F.col("rep") == F.col("__rep"), "left").select(
         "__key", F.coalesce("component", "rep").alias("component"))
     out = scan.select("id", "n", "key").join(of, (F.col("key") == F.col("__key")) & (F.col("n") > 0), "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+    out = out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    if not numbered:
+        return out.withColumnRenamed("id", "doc_id")
+    # numbers follow the ids, so a component's smallest number is a row of its smallest id
+    ids = rows.select(F.col("__key").alias("__k"), "doc_id")
+    named = out.join(ids, F.col("id") == F.col("__k")).select("doc_id", "n_shingles", "component_id")
+    first = ids.select(F.col("__k"), F.col("doc_id").alias("__first"))
+    return named.join(first, F.col("component_id") == F.col("__k")).select(
+        "doc_id", "n_shingles", F.col("__first").alias("component_id"))

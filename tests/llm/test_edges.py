@@ -267,3 +267,35 @@ def test_kneser_ney_without_a_model_file_fails(spark, tmp_path):
             kneser_ney.logs({**model, "folder": folder}, word, before)
     with pytest.raises(FileNotFoundError):
         kneser_ney._store(str(tmp_path / "unseen" / "pair-0.n"), np.zeros(1, "<u4"))
+
+
+def test_rows_of_null_and_repeated_ids_are_linked_and_judged_by_their_own_text(spark):
+    body = [f"w{i}" for i in range(60)]
+    near = " ".join(body[:-1] + ["other"])
+    rows = [(1, "quite another text of six words"), (1, " ".join(body)), (3, near), (None, "z " * 30), (None, "z " * 29),
+            (None, "nothing like it at all here")]
+    out = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in out.collect())
+    assert got == [(0, 1, 0), (0, 1, 0), (0, 3, 0), (1, 3, 1), (1, 57, 1), (3, 57, 1)]
+    # halves of a window in two rows of one id make no window
+    bench = spark.createDataFrame([(1, " ".join(body[:10]))], "item_id long, text string")
+    first, second = " ".join(["x"] * 3 + body[:5]), " ".join(["y"] * 8 + body[5:10])
+    for key in (None, 7):
+        docs = spark.createDataFrame([(key, first), (key, second), (key, "a " + " ".join(body[:10]))],
+                                     "doc_id long, text string")
+        found = decontaminate.report(docs, bench).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == [
+            (key, 8, 0, ()), (key, 11, 10, ("1",)), (key, 13, 0, ())]
+
+
+def test_pipeline_stages_leave_other_columns_as_they_are(spark, edges, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGE_SCORE", 0.0)
+    docs = (edges.drop(*[c for c in ("score", "lang_pred", "n_lines") if c in edges.columns])
+            .selectExpr("*", "123.5D AS score", "'keep' AS lang_pred", "77 AS n_lines", "doc_id * 2 AS `a.b`"))
+    for stage in (corpus_pipeline.language, corpus_pipeline.lines):
+        out = stage(spark, docs, None)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and {(r.score, r.lang_pred, r.n_lines) for r in rows} == {(123.5, "keep", 77)}
+        assert all(r["a.b"] == (None if r.doc_id is None else 2 * r.doc_id) for r in rows)
+
