@@ -2,15 +2,16 @@
 
 The classifier is fitted on at most about ``MAX_EXAMPLES`` labelled rows
 (hash-sampled; the documented bound). Terms are words and word beginnings
-(``^`` and 4 to 8 letters) whose presence is tied to the label: those with the
-largest chi-square over these rows (at least ``MIN_CHI2``, at most ``TERMS``).
-Document frequencies are counted over all texts. Examples with equal vectors
-are one entry with its counts of votes.
+(``^`` and 4 to 8 letters) whose presence is tied to the label: those with a
+chi-square over these rows of at least ``MIN_CHI2``, on at least ``MIN_DOCS`` of
+them (on fewer the test says nothing). Document frequencies are counted over all
+texts. Examples with equal vectors are one entry with its counts of votes.
 
 Entries are held in an inverted index whose postings are cut into blocks with
-the largest weight of each term in each block. A query visits blocks by their
-upper bound and stops when no block left can reach its ``K`` nearest votes, so
-the neighbours are exactly the nearest by cosine, ties included. The share of
+the largest weight of each term in each block; entries that share their
+strongest terms stand together. A query visits blocks in waves by their upper
+bound and stops when no block left can reach its ``K`` nearest votes, so the
+neighbours are exactly the nearest by cosine, ties included. The share of
 toxic votes, weighted by closeness, goes through an isotonic curve fitted on
 the examples (each without its own vote) and gives the score; the nearest
 examples' ids are the evidence.
@@ -23,21 +24,25 @@ equal scores.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import id_key, measured, saved
 from .words import chunks, split_words
 
-TERMS, MIN_CHI2, MIN_DOCS = 512, 25.0, 4
+MIN_CHI2, MIN_DOCS = 25.0, 4
 BEGINNINGS = (4, 5, 6, 7, 8)
 MAX_EXAMPLES = 30_000
-K, BLOCK = 25, 64
+K, BLOCK, WAVE = 25, 64, 8
+#: Distinct vectors scored by one task.
+PER_TASK = 4_000
 EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
 
@@ -82,19 +87,19 @@ def label_counts(docs: DataFrame) -> DataFrame:
 
 
 def choose_terms(counts: DataFrame, rows: int, toxic: int) -> list[str]:
-    """The words most tied to the label by chi-square; at most TERMS."""
+    """The words tied to the label by chi-square; as many as the sample's rows hold."""
     a, n = F.col("toxic").cast("double"), F.col("docs").cast("double")
     miss, other = F.lit(float(toxic)) - a, F.lit(float(rows - toxic)) - (n - a)
     cross = a * other - (n - a) * miss
     chi2 = float(rows) * cross * cross / (
         n * (F.lit(float(rows)) - n) * F.lit(float(toxic) * float(rows - toxic)))
-    best = (counts.where((n >= MIN_DOCS) & (n < rows)).withColumn("chi2", chi2)
-            .where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS))
-    return sorted(r["term"] for r in best.select("term").collect())
+    tied = counts.where((n >= MIN_DOCS) & (n < rows)).where(chi2 >= MIN_CHI2)
+    return sorted(r["term"] for r in tied.select("term").collect())
 
 
 def vectors(docs: DataFrame, doc_id: str, text: str, terms: list[str]) -> DataFrame:
-    """Stored (doc_id, t, c): the chosen terms of each text by place, and their counts."""
+    """Stored (doc_id, key, t, c): the chosen terms of each text by place, their
+    counts, and a 128-bit hash of both."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
@@ -103,20 +108,22 @@ def vectors(docs: DataFrame, doc_id: str, text: str, terms: list[str]) -> DataFr
                 place = np.stack([pc.fill_null(pc.index_in(t, value_set=chosen), -1).to_numpy(
                     zero_copy_only=False) for t in terms_of(words)])
                 told = (place >= 0).any(axis=0)[codes]
-                at, cs = [], []
+                at, cs, keys = [], [], []
                 for i in range(part.num_rows):
                     own = codes[offsets[i]:offsets[i + 1]]
                     own = place[:, own[told[offsets[i]:offsets[i + 1]]]]
                     t, c = np.unique(own[own >= 0], return_counts=True)
                     at.append(t)
                     cs.append(c)
+                    keys.append(hashlib.blake2b(np.concatenate([t, c]).astype("<i8").tobytes(),
+                                                digest_size=16).digest())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(at, pa.list_(pa.int32())),
-                     pa.array(cs, pa.list_(pa.int32()))], names=["doc_id", "t", "c"])
+                    [part.column(0), pa.array(keys, pa.binary()), pa.array(at, pa.list_(pa.int32())),
+                     pa.array(cs, pa.list_(pa.int32()))], names=["doc_id", "key", "t", "c"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
-                 .mapInArrow(run, f"doc_id {kind}, t array<int>, c array<int>"), "term-vectors")
+                 .mapInArrow(run, f"doc_id {kind}, key binary, t array<int>, c array<int>"), "term-vectors")
 
 
 class BlockMaxIndex:
@@ -124,64 +131,79 @@ class BlockMaxIndex:
 
     def __init__(self, entries: list[tuple], idf: np.ndarray):
         """entries: (terms, counts, votes, toxic votes, ids of some examples)."""
-        rows = sorted((tuple(t), tuple(c), n, y, tuple(ids)) for t, c, n, y, ids in entries)
-        self.idf, self.keys = idf, {(r[0], r[1]): i for i, r in enumerate(rows)}
+        self.idf = idf
+        # entries with the same strongest terms stand together, so a block's bounds are tight
+        rows = sorted(((tuple(t), tuple(c), n, y, tuple(ids)) for t, c, n, y, ids in entries),
+                      key=lambda r: ([r[0][i] for i in np.argsort(-self.unit(*r[:2]), kind="stable")], r))
+        self.keys = {(r[0], r[1]): i for i, r in enumerate(rows)}
         self.votes = np.array([r[2] for r in rows], dtype=float)
         self.toxic = np.array([r[3] for r in rows], dtype=float)
         self.ids = [r[4] for r in rows]
         self.blocks = -(-len(rows) // BLOCK)
-        posts: dict[int, tuple[list, list]] = {}
-        for i, r in enumerate(rows):
-            for t, w in zip(r[0], self.unit(r[0], r[1])):
-                at, ws = posts.setdefault(t, ([], []))
-                at.append(i)
-                ws.append(w)
-        self.posts, self.peaks = {}, {}
-        for t, (at, ws) in posts.items():
-            at, ws = np.array(at), np.array(ws)
-            peak = np.zeros(self.blocks)
-            np.maximum.at(peak, at // BLOCK, ws)
-            self.posts[t] = (at, ws, np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK))
-            self.peaks[t] = peak
+        at = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+        ts = np.array([t for r in rows for t in r[0]], dtype=np.int64)
+        ws = np.concatenate([self.unit(r[0], r[1]) for r in rows]) if rows else np.zeros(0)
+        order = np.lexsort((at, ts))
+        #: Postings by term, then entry; ``cuts[t, b]`` is where term t's block b begins.
+        self.at, self.ws = at[order].astype(np.int32), ws[order]
+        cell = ts[order] * self.blocks + self.at // BLOCK
+        size = len(idf) * self.blocks
+        self.cuts = np.searchsorted(cell, np.arange(size + 1)).astype(np.int32)
+        self.peaks = np.zeros(size)
+        np.maximum.at(self.peaks, cell, self.ws)
+        self.peaks = self.peaks.reshape(len(idf), self.blocks)
 
     def unit(self, t, c) -> np.ndarray:
         w = (1 + np.log(np.asarray(c, dtype=float))) * self.idf[list(t)]
         return w / np.sqrt(w @ w)
 
+    def cosines(self, t: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosine of every entry of the blocks with a query, 0 for other entries."""
+        cell = (t[:, None] * self.blocks + blocks).ravel()
+        low = self.cuts[cell].astype(np.int64)
+        n = self.cuts[cell + 1] - low
+        place = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        parts = np.repeat(np.repeat(w, len(blocks)), n) * self.ws[place]
+        return np.bincount(self.at[place], parts, len(self.votes)).round(12)
+
     def nearest(self, t, c, own: int = -1, k: int = K) -> list[tuple[float, int, float]]:
         """(cosine, entry, votes) of the nearest entries holding at least k votes, ties included.
 
+        Blocks are visited by their bounds, each wave WAVE times the last one's
+        number, until none left can hold an entry as near as the k-th vote.
         ``own``: an entry that lends one vote less.
         """
-        q = dict(zip(t, self.unit(t, c)))
-        bound = sum((w * self.peaks[x] for x, w in q.items() if x in self.peaks),
-                    np.zeros(self.blocks))
-        found: list[tuple[float, int, float]] = []
-        least = 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
+        t, w = np.asarray(t, dtype=np.int64), self.unit(t, c)
+        bound = w @ self.peaks[t]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        found, cos, votes = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        least, done, step = 0.0, 0, WAVE
+        while done < len(order):
+            wave = order[done:done + step]
+            wave = wave[bound[wave] >= least - 1e-9]
+            if not len(wave):
                 break
-            cos = np.zeros(BLOCK)
-            for x, w in q.items():
-                if x in self.posts:
-                    at, ws, cuts = self.posts[x]
-                    cos[at[cuts[b]:cuts[b + 1]] - b * BLOCK] += w * ws[cuts[b]:cuts[b + 1]]
-            for j in np.flatnonzero((cos > 0) & (cos >= least - 1e-12)):
-                e = int(b) * BLOCK + int(j)
-                n = self.votes[e] - (e == own)
-                if n > 0:
-                    found.append((float(cos[j]), e, n))
-            found.sort(key=lambda f: (-round(f[0], 12), f[1]))
-            total = np.cumsum([f[2] for f in found])
-            if len(total) and total[-1] >= k:
-                least = found[int(np.searchsorted(total, k))][0]
-                found = [f for f in found if f[0] >= least - 1e-12]
-        return found
-
-    def vote(self, t, c, own: int = -1, own_toxic: float = 0.0) -> float:
-        """The weighted share of toxic votes among the nearest; the overall share if none is near."""
+            near = self.cosines(t, w, wave)
+            more = np.flatnonzero((near > 0) & (near >= least))
+            lent = self.votes[more] - (more == own)
+            more, lent = more[lent > 0], lent[lent > 0]
+            found, cos = np.concatenate([found, more]), np.concatenate([cos, near[more]])
+            votes = np.concatenate([votes, lent])
+            rank = np.lexsort((found, -cos))
+            found, cos, votes = found[rank], cos[rank], votes[rank]
+            reached = int(np.searchsorted(np.cumsum(votes), k))
+            if reached < len(found):
+                least = cos[reached]
+                kept = int(np.searchsorted(-cos, -least, side="right"))
+                found, cos, votes = found[:kept], cos[:kept], votes[:kept]
+            done, step = done + step, step * WAVE
+        return list(zip(cos.tolist(), found.tolist(), votes.tolist()))
+
+    def vote(self, near: list[tuple], own: int = -1, own_toxic: float = 0.0) -> float:
+        """The weighted share of toxic votes among ``near``; the overall share if none is near."""
         up, down = 0.0, 0.0
-        for cos, e, n in self.nearest(t, c, own):
+        for cos, e, n in near:
             w = 1 / (1.05 - min(cos, 1.0))
             up += w * (self.toxic[e] - (own_toxic if e == own else 0.0))
             down += w * n
@@ -219,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
         return stored, None
     df = np.zeros(len(terms) + 1)
     for r in stored.select(F.explode("t").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]  # at most TERMS rows
+        df[r["t"]] = r["count"]  # one row a term
     idf = np.log((1 + stored.count()) / (1 + df)) + 1
     examples = (stored.join(measured(sample), id_key(F.col("doc_id")) == F.col("l_id"))
                 .groupBy("t", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"),
@@ -228,48 +250,68 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
     prior = toxic / rows
     n0, y0 = bare[0] if bare else (0, 0)
     index = BlockMaxIndex([(r["t"], r["c"], r["n"], r["y"], [r["one"]]) for r in examples if r["t"]], idf)
-    x, y, w = [], [], []
-    for (t, c), e in index.keys.items():
-        for own, n in ((1.0, index.toxic[e]), (0.0, index.votes[e] - index.toxic[e])):
-            if n:
-                x.append(index.vote(t, c, e, own))
-                y.append(own)
-                w.append(float(n))
-    curve = isotonic(np.array(x), np.array(y), np.array(w)) if x else (np.zeros(1), np.array([prior]))
+    curve = calibration(docs.sparkSession, index, prior)
     return stored, {"index": index, "curve": curve, "bare": (y0 + prior) / (n0 + 1)}
 
 
+def calibration(spark: SparkSession, index: BlockMaxIndex, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The isotonic curve over the entries' votes, each example without its own."""
+    if not index.keys:
+        return np.zeros(1), np.array([prior])
+    shared = spark.sparkContext.broadcast(index)  # at most MAX_EXAMPLES entries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        keys = list(own.keys)
+        for batch in batches:
+            out = []
+            for e in batch.column(0).to_pylist():
+                near = own.nearest(*keys[e], own=e)
+                out += [(own.vote(near, e, y), y, n) for y, n in (
+                    (1.0, own.toxic[e]), (0.0, own.votes[e] - own.toxic[e])) if n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.float64()) for v in zip(*out)], names=["x", "y", "n"])
+
+    entries = spark.range(0, len(index.keys), 1, -(-len(index.keys) // PER_TASK))
+    points = entries.mapInArrow(run, "x double, y double, n double").toPandas()  # two an entry at most
+    return isotonic(*points.to_numpy().T)
+
+
 def score(docs: DataFrame, labels: DataFrame, train_on: Column, label: str = "toxic",
           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score, evidence) of every row, from labels of rows where ``train_on`` holds."""
+    """(doc_id, score, evidence) of every row, from labels of rows where ``train_on`` holds.
+
+    Each distinct vector is searched once, in tasks of some PER_TASK vectors
+    that begin with the same terms; texts without terms need no search.
+    """
     stored, model = train(docs, labels.where(train_on), label, doc_id, text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_EXAMPLES entries
     kind = stored.schema["doc_id"].dataType.simpleString()
+    bare = stored.where(F.size("t") == 0) if model else stored
+    bare = bare.select("doc_id", F.lit(float(model["bare"]) if model else 0.0).alias("score"),
+                         F.array().cast(f"array<{kind}>").alias("evidence"))
+    if model is None:
+        return bare
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_EXAMPLES entries
+    told = F.size("t") > 0
+    id_type = to_arrow_type(stored.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, seen = shared.value, {}
-
-        def one(key: tuple) -> tuple[float, list]:
-            if m is None:
-                return 0.0, []
-            if not key[0]:
-                return float(m["bare"]), []
-            near = m["index"].nearest(*key)[:3]
-            x, y = m["curve"]
-            return float(np.interp(m["index"].vote(*key), x, y)), [
-                i for _, e, _ in near for i in m["index"].ids[e]]
-
+        index, (x, y) = shared.value["index"], shared.value["curve"]
+        ids = pa.list_(id_type)
         for batch in batches:
             scores, evidence = [], []
-            for key in zip(map(tuple, batch.column(1).to_pylist()), map(tuple, batch.column(2).to_pylist())):
-                if key not in seen:
-                    if len(seen) > 100_000:  # memory bound of the memo only
-                        seen.clear()
-                    seen[key] = one(key)
-                scores.append(seen[key][0])
-                evidence.append(seen[key][1])
+            for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                near = index.nearest(t, c)
+                scores.append(float(np.interp(index.vote(near), x, y)))
+                evidence.append([i for _, e, _ in near[:3] for i in index.ids[e]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()),
-                 pa.array(evidence, pa.list_(batch.column(0).type))], names=["doc_id", "score", "evidence"])
-
-    return stored.mapInArrow(run, f"doc_id {kind}, score double, evidence array<{kind}>")
+                [batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, ids)],
+                names=["key", "score", "evidence"])
+
+    distinct = saved(stored.where(told).select("key", "t", "c").dropDuplicates(["key"]), "distinct-vectors")
+    tasks = -(-distinct.count() // PER_TASK) or 1
+    scored = saved(distinct.repartitionByRange(tasks, "t", "c").mapInArrow(
+        run, f"key binary, score double, evidence array<{kind}>"), "scored-vectors")
+    rows = stored.where(told).select("doc_id", "key").join(
+        measured(scored.withColumnRenamed("key", "__key")), F.col("key") == F.col("__key"))
+    return rows.select("doc_id", "score", "evidence").union(bare)

@@ -169,6 +169,35 @@ def test_block_max_search_is_exact():
         assert {x for _, x, _ in index.nearest(t, c)} == set(np.flatnonzero(cos >= last - 1e-12))
 
 
+def test_toxicity_scores_and_evidence_by_brute_force(spark):
+    import numpy as np
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    stored, model = toxicity.train(docs, labels, "toxic", "doc_id", "text")
+    index, (x, y) = model["index"], model["curve"]
+    dense = np.zeros((len(index.keys), len(index.idf)))
+    for (t, c), e in index.keys.items():
+        dense[e, list(t)] = index.unit(t, c)
+    out = {r.doc_id: r for r in toxicity.score(docs, labels, every()).collect()}
+    assert len(out) == docs.count()
+    for r in stored.collect():
+        if not r.t:
+            assert (out[r.doc_id].score, out[r.doc_id].evidence) == (float(model["bare"]), [])
+            continue
+        q = np.zeros(len(index.idf))
+        q[r.t] = index.unit(r.t, r.c)
+        cos = (dense @ q).round(12)
+        order = [e for e in np.lexsort((np.arange(len(cos)), -cos)) if cos[e] > 0]
+        total = np.cumsum(index.votes[order])
+        cut = cos[order[min(int(np.searchsorted(total, toxicity.K)), len(order) - 1)]] if order else 0
+        near = [e for e in order if cos[e] >= cut]
+        w = 1 / (1.05 - np.minimum(cos[near], 1))
+        share = (w @ index.toxic[near] / (w @ index.votes[near]) if near
+                 else index.toxic.sum() / index.votes.sum())
+        assert abs(out[r.doc_id].score - np.interp(share, x, y)) < 1e-9
+        assert out[r.doc_id].evidence == [i for e in near[:3] for i in index.ids[e]]
+
+
 def test_quality(edges, empty, marks):
     out = gam.score(edges, marks, every()).toPandas()
     assert len(out) == edges.count() and out.score.between(0, 1).all()
