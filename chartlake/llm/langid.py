@@ -47,7 +47,7 @@ def letters() -> np.ndarray:
         table = np.zeros(0x110000, dtype=np.uint32)
         for i in range(0x110000):
             c = chr(i)
-            if unicodedata.category(c)[0] in "LM":
+            if unicodedata.category(c)[0] == "L":
                 table[i] = ord(c.lower()[0])
         _LETTERS.append(table)
     return _LETTERS[0]
