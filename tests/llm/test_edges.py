@@ -46,6 +46,12 @@ def test_language(edges, empty):
     assert {out[i].lang_pred for i in (4, 5, 6, 9)} == {"und"} and out[4].score == 0
     assert out[7].lang_pred == "en" and set(out) == {r.doc_id for r in edges.collect()}
     assert langid.identify(empty, every()).isEmpty()
+    bare = edges.sparkSession.createDataFrame(
+        [(1, "\u2764\ufe0f"), (2, "1\ufe0f\u20e3"), (3, "\u0301"), (4, "the cat")], "doc_id long, text string")
+    marks = langid.identify(edges.select("doc_id", "text", "lang").unionByName(
+        bare.selectExpr("doc_id + 900 AS doc_id", "text", "NULL AS lang")), every())
+    assert {r.doc_id: r.lang_pred for r in marks.where("doc_id > 900").collect()} == {
+        901: "und", 902: "und", 903: "und", 904: "en"}
     assert {r.lang_pred for r in langid.identify(edges, F.lit(False)).collect()} == {"und"}
 
 
@@ -59,6 +65,29 @@ def test_kneser_ney(edges, empty):
     assert all(r.score == 0 for r in kneser_ney.score(edges, F.lit(False)).collect())
 
 
+def test_kneser_ney_counts_above_32_bits(spark, tmp_path):
+    import numpy as np
+    from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
+    pair = [np.array([5, 5, 6], "<u8"), np.array([7, 8, 7], "<u8"), np.array([4_000_000_000, 1, 2], "<u4")]
+    blob = b"".join(c.tobytes() for c in pair)
+    kind = StructType([StructField("bucket", IntegerType()), StructField("rows", BinaryType())])
+    counted = spark.createDataFrame([(0, blob), (0, blob), (1, blob)], kind)
+    words = kneser_ney._pair_files(counted, str(tmp_path), 3)
+    keys = kneser_ney.chain([pair[0], pair[1]])
+
+    def stored(bucket: int) -> list:
+        return kneser_ney._lookup(str(tmp_path), "pair", np.full(3, bucket), keys, {"n": "<u8"})[0].tolist()
+
+    assert (stored(0), stored(1), stored(2)) == ([8_000_000_000, 2, 4], [4_000_000_000, 1, 2], [0, 0, 0])
+    totals = [np.frombuffer(bytes(r.rows), "<i8")[5] for r in words.where("bucket = -1").collect()]
+    assert sorted(totals) == [0, 4_000_000_003, 8_000_000_006]
+    kneser_ney._word_files(words, str(tmp_path), 3, np.array([0.5, 1.0, 1.5]))
+    word = np.array([5, 7, 8], np.uint64)
+    at = (kneser_ney.mix(word) % np.uint64(3)).astype(np.int32)
+    tokens = kneser_ney._lookup(str(tmp_path), "word", at, word, {"tokens": "<i8"})[0]
+    assert tokens.tolist() == [0, 12_000_000_006, 3]
+
+
 def test_jaccard_join(edges, empty):
     rows = [(r.doc_id, r.text) for r in edges.where("doc_id IS NOT NULL").collect()]
     want = brute.components(rows, 4, 85)
