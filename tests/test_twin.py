@@ -94,3 +94,13 @@ def test_a_query_builds_only_what_it_reads(spark, tmpdir_path):
     assert os.listdir(f"{root}/landing") == ["soundcloud_top_tracks"]
     assert [n for n in os.listdir(f"{root}/warehouse/tracks") if "=" in n] == ["source=soundcloud"]
     assert {r.source for r in M.table(spark, d, "tracks").select("source").distinct().collect()} == {"spotify", "soundcloud"}
+
+
+def test_scans_of_stored_tables_are_small_and_the_setting_goes_back(spark):
+    from chartlake.session import SPLIT, STORED_SPLIT, read_stored
+    own = spark.conf.get(SPLIT)
+    read_stored(spark, True)
+    read_stored(spark, True)
+    assert spark.conf.get(SPLIT) == STORED_SPLIT
+    read_stored(spark, False)
+    assert spark.conf.get(SPLIT) == own
