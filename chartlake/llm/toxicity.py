@@ -222,6 +222,20 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return s[:, 0] / s[:, 2], s[:, 1] / s[:, 2]
 
 
+def document_counts(stored: DataFrame) -> DataFrame:
+    """(t, n): how many vectors hold each term; a task counts its own and returns a row a term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
+        for batch in batches:
+            held = np.bincount(np.asarray(batch.column(0).flatten(), np.int64), minlength=len(counts))
+            held[:len(counts)] += counts
+            counts = held
+        t = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(counts[t], pa.int64())], names=["t", "n"])
+
+    return stored.select("t").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
           ) -> tuple[DataFrame, dict | None]:
     """The texts' vectors and a model from the labelled rows."""
@@ -240,8 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str
     if not rows:
         return stored, None
     df = np.zeros(len(terms) + 1)
-    for r in stored.select(F.explode("t").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]  # one row a term
+    for r in document_counts(stored).collect():
+        df[r["t"]] = r["n"]  # one row a term
     idf = np.log((1 + stored.count()) / (1 + df)) + 1
     examples = (stored.join(measured(sample), id_key(F.col("doc_id")) == F.col("l_id"))
                 .groupBy("t", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"),

@@ -357,3 +357,11 @@ def test_pipeline_stages_leave_other_columns_as_they_are(spark, edges, monkeypat
         assert rows and {(r.score, r.lang_pred, r.n_lines) for r in rows} == {(123.5, "keep", 77)}
         assert all(r["a.b"] == (None if r.doc_id is None else 2 * r.doc_id) for r in rows)
 
+
+
+def test_op8_terms_are_counted_in_tasks(spark):
+    from chartlake.llm import toxicity
+    rows = [([0, 2],), ([2],), ([],), (None,), ([1, 2],)] * 3
+    counts = toxicity.document_counts(spark.createDataFrame(rows, "t array<int>").repartition(3))
+    assert {r.t: r.n for r in counts.collect()} == {0: 3, 1: 3, 2: 9}
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
