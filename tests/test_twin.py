@@ -98,6 +98,7 @@ def test_a_query_builds_only_what_it_reads(spark, tmpdir_path):
 
 def test_scans_of_stored_tables_are_small_and_the_setting_goes_back(spark):
     from chartlake.session import SPLIT, STORED_SPLIT, read_stored
+    read_stored(spark, False)  # another test's query may have left it on
     own = spark.conf.get(SPLIT)
     read_stored(spark, True)
     read_stored(spark, True)
