@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators (lazy; no action, nothing collected)."""
 
-from chartlake.operators.dedupe import dedupe_latest  # noqa: F401
+from chartlake.operators.dedupe import dedupe_latest, dedupe_repeated, repeated  # noqa: F401
 from chartlake.operators.filters import conjunction, optional_filters  # noqa: F401
 from chartlake.operators.frontier import missing_ids, missing_report, request_frontier  # noqa: F401
 from chartlake.operators.genres import (  # noqa: F401

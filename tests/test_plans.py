@@ -42,3 +42,35 @@ def test_warehouse_reads_prune_source_partition(spark):
 def test_dedupe_limits_before_shuffle(spark):
     plan = _plan(registry.run(spark, "dedupe_tracks", SF))
     assert "WindowGroupLimit" in plan
+
+
+def test_reads_of_one_source_dont_move_it(spark):
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("genres_of_artist", "genres_of_track", "artists_of_track"):
+            moved = [line for line in _plan(registry.run(spark, name, SF)).splitlines() if "hashpartitioning" in line]
+            assert moved and not any("source#" in line for line in moved), name
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_stored_tracks_move_repeated_keys_only(spark):
+    from chartlake.plans import materialize as M
+    from chartlake.plans import transform
+    tables = {(t, s): M._facts(spark, SF, t, s) for t in ("tracks", "artists")
+              for s in (transform.SPOTIFY, transform.SOUNDCLOUD)}
+    for (name, source), df in tables.items():
+        plan = _plan(df)
+        assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan, (name, source)
+        assert df.count() == M.table(spark, SF, name, source).count()
+
+
+def test_artists_of_track_moves_pairs_once(spark):
+    from chartlake.plans import materialize as M
+    from chartlake.plans import reads, transform
+    df = registry.run(spark, "artists_of_track", SF)
+    assert "HashAggregate" not in _plan(df)
+    tables = [M.table(spark, SF, t, transform.SPOTIFY) for t in ("tracks", "artists")]
+    assert df.count() == reads.artists_of_tracks(*tables).count()
