@@ -15,7 +15,9 @@ above its own, and only if that is within reach.
 
 With a few slices more, linked pairs share ``SHARED`` regions. Documents that
 share so many, or one region of very many documents, directly or through others,
-make a cluster; no link leaves a cluster. Clusters of up to ``SMALL`` documents are joined in
+make a cluster; no link leaves a cluster. Two documents that share small regions
+are only counted if a sketch of their sets (a parity for each of some hash slices;
+no more of them differ than shingles do) leaves a link possible. Clusters of up to ``SMALL`` documents are joined in
 one task each (many to a task). Larger ones are cut by document pivots: every
 document is measured against some pivots of its cluster exactly, goes to the
 region of the nearest one, and is replicated to each other region whose pivot
@@ -62,6 +64,8 @@ PIVOTS, DEPTH = 64, 3
 #: Regions that linked documents share at least, and the size up to which all
 #: pairs of a region are counted; of larger regions all documents are taken.
 SHARED, COUNTED = 3, 128
+#: Longs of a sketch, 64 parities each.
+SKETCH = 4
 #: Hashes by which a set is sliced until few slices are empty.
 TRIES = 6
 
@@ -81,6 +85,12 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in hash slices: two sets differ by as many shingles at least as bits differ."""
+    at = (mix(shingles) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
 class Slicing:
     """Size levels and the slices of each for one threshold."""
 
@@ -144,18 +154,19 @@ class Slicing:
 
 
 def _scan(docs: DataFrame, words: int) -> DataFrame:
-    """Stored (id, n, key) of every row: the size and a 128-bit hash of its set."""
+    """Stored (id, n, key, sketch) of every row: the size, a 128-bit hash and a sketch of its set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
                 sets = list(shingle_sets(part.column(1), words))
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
-                    names=["id", "n", "key"])
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                     pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))],
+                    names=["id", "n", "key", "sketch"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return saved(docs.mapInArrow(run, f"id {kind}, n long, key binary"), "sets-scanned")
+    return saved(docs.mapInArrow(run, f"id {kind}, n long, key binary, sketch array<long>"), "sets-scanned")
 
 
 def _regions(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -190,31 +201,57 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return saved(rows.mapInArrow(run, f"id {kind}, s array<long>"), "sets")
 
 
-def _shared(regions: DataFrame) -> DataFrame:
+def _chained(led: DataFrame) -> DataFrame:
+    """Stored pairs that connect the same documents as ``led`` (a, b): each a with the first of
+    its b, and that with the next. Documents of a group have much the same b, so this is about
+    a pair a document, and not one for each of its regions."""
+    of = led.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("leads"))
+    pair = F.explode(F.expr("arrays_zip(slice(leads, 2, size(leads)), slice(leads, 1, size(leads) - 1))")).alias("pair")
+    steps = of.where(F.size("leads") > 1).select(pair).select(F.col("pair")["0"].alias("a"), F.col("pair")["1"].alias("b"))
+    return saved(of.select("a", F.col("leads")[0].alias("b")).union(steps.distinct()), "led")
+
+
+def _near(percent: int):
+    """Whether the sizes and sketches of two rows (n, sketch) and (__n, __sketch) leave a link possible:
+    linked sets differ by at most (100 - percent) / (100 + percent) of their sizes together."""
+    bits = functools.reduce(lambda x, y: x + y, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("__sketch")[i]))
+                                                 for i in range(SKETCH)])
+    return ((100 + percent) * F.greatest(bits.cast("long"), F.abs(F.col("n") - F.col("__n")))
+            <= (100 - percent) * (F.col("n") + F.col("__n")))
+
+
+def _shared(regions: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Stored pairs (a, b) that connect all documents which may be linked.
 
     A pair that is linked shares SHARED regions: either one of them is large,
     and both are connected to that region's smallest id, or all are small, and
     it is counted there. First each document is counted with the smallest ids
     of its regions alone, so a group of copies becomes one part by as many
-    pairs as it has documents; then the parts, each once in a region, are
-    counted with each other. Two linked documents of different parts share
-    their regions as the parts do, so none is missed.
+    pairs as it has documents; then the documents of a region that are of
+    different parts are counted with each other, if their sketches (id, n,
+    sketch) are near enough for a link, so unrelated documents that share
+    passages make no pairs, and no linked pair is missed.
     """
     sized = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")).where("size > 1")
     rows = saved(regions.join(sized.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r")).drop("__r"),
                  "regions")
     near = rows.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(
         F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-    led = saved(near.where((F.col("size") > COUNTED) | (F.col("n") >= SHARED)).select("a", "b"), "led")
-    parts = measured(components(led).select(F.col("id").alias("__id"), F.col("component").alias("__part")))
-    small = saved(rows.where(F.col("size") <= COUNTED).join(parts, F.col("id") == F.col("__id"), "left").select(
-        "region", F.coalesce("__part", "id").alias("id")).distinct(), "parts")
-    other = small.select(F.col("region").alias("__r"), F.col("id").alias("b"))
-    counted = (small.join(other, (F.col("region") == F.col("__r")) & (F.col("id") > F.col("b")))
-               .groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") >= SHARED).select("a", "b"))
-    return saved(led.union(counted), "shared")
+    led = _chained(near.where((F.col("size") > COUNTED) | (F.col("n") >= SHARED)).select("a", "b"))
+    parts = components(led)
+    of = measured(parts.select(F.col("id").alias("__id"), F.col("component").alias("__part")))
+    told = sketches.select(F.col("id").alias("__of"), "n", "sketch")
+    small = saved(rows.where(F.col("size") <= COUNTED).select("region", "id")
+                  .join(of, F.col("id") == F.col("__id"), "left").join(told, F.col("id") == F.col("__of"))
+                  .select("region", "id", F.coalesce("__part", "id").alias("part"), "n", "sketch"), "parts")
+    other = small.select(F.col("region").alias("__r"), F.col("id").alias("b"), F.col("part").alias("__part"),
+                         F.col("n").alias("__n"), F.col("sketch").alias("__sketch"))
+    counted = (small.join(other, (F.col("region") == F.col("__r")) & (F.col("id") > F.col("b"))
+                          & (F.col("part") != F.col("__part")) & _near(percent))
+               .groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"))
+               .where(F.col("times") >= SHARED).select("a", "b"))
+    whole = parts.where(F.col("id") != F.col("component")).select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return saved(whole.union(counted), "shared")
 
 
 def _arrays(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -419,7 +456,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         .join(classes.where("rows > 1"), F.col("__key") == F.col("key"))
         .where(F.col("id") != F.col("rep")).select(F.col("id").alias("__id")))
     single = texts.join(copies, F.col("id") == F.col("__id"), "left_anti")
-    clusters = components(_shared(_regions(single, words, percent)))
+    clusters = components(_shared(_regions(single, words, percent), scan, percent))
     sets = _sets(texts, clusters, words)
     members = clusters.select(F.xxhash64("component").alias("region"), "id")
     links = functools.reduce(DataFrame.union, _join_regions(members, sets, percent))

@@ -121,6 +121,51 @@ def test_jaccard_join_of_near_copies_and_passages(spark, monkeypatch):
             assert got == brute.components(rows, k, percent)
 
 
+def test_unrelated_documents_of_shared_regions_make_no_pairs(spark):
+    """40 documents share three small regions, but no three of them have one lead."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    regions = spark.createDataFrame([(r, i) for r, first in ((1, 0), (2, 0), (3, 1)) for i in range(first, 41)],
+                                    "region long, id long")
+
+    def told(sets: list) -> list:
+        return [(i, len(s), jaccard_join.sketch(s).tolist()) for i, s in enumerate(sets)]
+
+    kind = "id long, n long, sketch array<long>"
+    base = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+    passage = [np.concatenate([base[:60], rng.integers(0, 1 << 63, 40, dtype=np.uint64)]) for _ in range(41)]
+    assert jaccard_join._shared(regions, spark.createDataFrame(told(passage), kind), 85).isEmpty()
+    near = [base[i % 5:] for i in range(41)]
+    pairs = {(r.a, r.b) for r in jaccard_join._shared(regions, spark.createDataFrame(told(near), kind), 85).collect()}
+    assert {x for p in pairs for x in p} == set(range(1, 41))
+
+
+def test_sketches_of_linked_sets_are_near(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (7, 40, 300, 3000):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        cut = max(1, n * 15 // 100) if n > 7 else 1
+        b = np.concatenate([a[cut:], rng.integers(0, 1 << 63, 0, dtype=np.uint64)])
+        linked = 100 * (n - cut) >= 85 * n
+        rows.append((linked, n, jaccard_join.sketch(a).tolist(), len(b), jaccard_join.sketch(b).tolist()))
+    df = spark.createDataFrame(rows, "linked boolean, n long, sketch array<long>, __n long, __sketch array<long>")
+    got = df.select("linked", jaccard_join._near(85).alias("near")).collect()
+    assert any(r.linked for r in got) and all(r.near for r in got if r.linked)
+
+
+def test_chained_pairs_connect_what_the_leads_do(spark):
+    import random
+    from chartlake.llm.components import components
+    rng = random.Random(7)
+    led = spark.createDataFrame([(i, b) for i in range(100, 160) for b in rng.sample(range(20), 6)] +
+                                [(i, b) for i in range(200, 400) for b in (50, 51, 52, 53, 54)], "a long, b long")
+    chained = jaccard_join._chained(led)
+    assert chained.where("a >= 200").count() == 200 and chained.where("a between 50 and 54").count() == 4
+    assert sorted(components(chained).collect()) == sorted(components(led).collect())
+
+
 def test_slices_of_linked_sets_agree():
     import numpy as np
     rng = np.random.default_rng(1)
