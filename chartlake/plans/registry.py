@@ -342,11 +342,14 @@ FROM sp_tracks t JOIN md ON md.key = concat_ws('|', t.track_id, t.artist_id)
                          AND md.data_time = t.snapshot_time
 WHERE md.data_time IN (SELECT m FROM latest)""")
 def snapshot_join(spark, d):
-    """Tracks joined to the metadata view on the record's key, at each day's latest time."""
+    """Tracks joined to the metadata view on the record's key, at each day's latest time.
+
+    Both sides are cut to those times, one a day and so broadcast, before the join moves them."""
     md, tr = _metadata(spark, d)
     times = md.where(F.col("record_type") == "tracks").select("key", "data_time")
-    latest = times.groupBy(F.to_date("data_time")).agg(F.max("data_time").alias("m"))
-    times = times.join(latest.select("m"), F.col("data_time") == F.col("m"), "left_semi")
+    latest = F.broadcast(times.groupBy(F.to_date("data_time")).agg(F.max("data_time").alias("m")).select("m"))
+    times = times.join(latest, F.col("data_time") == F.col("m"), "left_semi")
+    tr = tr.join(latest, F.col("snapshot_time") == F.col("m"), "left_semi")
     out = tr.join(times, (F.concat_ws("|", "track_id", "artist_id") == F.col("key"))
                   & (F.col("snapshot_time") == F.col("data_time")))
     return out.select("track_id", "artist_id", F.col("data_time").alias("chart_date"))

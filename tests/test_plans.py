@@ -74,3 +74,23 @@ def test_artists_of_track_moves_pairs_once(spark):
     assert "HashAggregate" not in _plan(df)
     tables = [M.table(spark, SF, t, transform.SPOTIFY) for t in ("tracks", "artists")]
     assert df.count() == reads.artists_of_tracks(*tables).count()
+
+
+def test_snapshot_join_cuts_both_sides_before_it_moves_them(spark):
+    from chartlake.plans import materialize as M
+    from chartlake.plans import transform
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        df = registry.run(spark, "snapshot_join", SF)
+        plan = _plan(df).split("== Initial Plan ==")[0]
+        assert sum("BroadcastHashJoin" in line and "LeftSemi" in line for line in plan.splitlines()) == 2
+        got = sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    rows = M.table(spark, SF, "tracks", transform.SPOTIFY).select("track_id", "artist_id", "snapshot_time").collect()
+    last = {}
+    for r in rows:
+        last[r.snapshot_time.date()] = max(r.snapshot_time, last.get(r.snapshot_time.date(), r.snapshot_time))
+    assert got == sorted(tuple(r) for r in rows if r.snapshot_time in last.values())
