@@ -105,3 +105,19 @@ def test_scans_of_stored_tables_are_small_and_the_setting_goes_back(spark):
     assert spark.conf.get(SPLIT) == STORED_SPLIT
     read_stored(spark, False)
     assert spark.conf.get(SPLIT) == own
+
+
+def test_stored_files_are_dense_and_the_codec_goes_back(spark, tmpdir_path):
+    import os
+
+    from chartlake.plans import materialize as M
+    from chartlake.session import CODEC, read_stored
+    read_stored(spark, False)
+    own = spark.conf.get(CODEC)
+    d = _star(spark, tmpdir_path)
+    read_stored(spark, True)
+    M.table(spark, d, "tracks", "soundcloud")
+    read_stored(spark, False)
+    assert spark.conf.get(CODEC) == own != "zstd"
+    files = [f for _, _, names in os.walk(M._root(spark, d)) for f in names if f.endswith(".parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
