@@ -32,6 +32,7 @@ BUILDERS = {
     "soundcloud_top_tracks": twin.soundcloud_top_tracks,
     "soundcloud_artists": twin.soundcloud_artists,
 }
+CHARTS = ("spotify_top_tracks", "soundcloud_top_tracks")
 #: What this application built, for release().
 _FP: dict[tuple[str, str], set[str]] = {}
 
@@ -69,29 +70,46 @@ def _mark(spark: SparkSession, path: str, marker: str = "_COMPLETE") -> None:
     fs.create(p, True).close()
 
 
+def _pages_path(spark: SparkSession, sf_dir: str) -> str:
+    return os.path.join(_root(spark, sf_dir), "pages")
+
+
 def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The paged order lines that feed all four collections: written once to the
+    """The paged order lines that feed the collections of both sources: written once to the
     shared folder, one row a page, where no lost executor costs them."""
-    path = os.path.join(_root(spark, sf_dir), "pages")
+    path = _pages_path(spark, sf_dir)
     with _LOCK:
         if not _done(spark, path):
             twin.chart_pages(spark, sf_dir).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def landing_root(spark: SparkSession, sf_dir: str, *collections: str) -> str:
-    """Landing zone with the raw collections named, by default all four (built when absent)."""
+def _documents(spark: SparkSession, sf_dir: str, collection: str, alone: bool) -> DataFrame:
+    build = BUILDERS[collection]
+    if collection == "soundcloud_artists":
+        return build(spark, sf_dir, raw(spark, sf_dir, "soundcloud_top_tracks", alone))
+    if alone and collection in CHARTS and not _done(spark, _pages_path(spark, sf_dir)):
+        return build(spark, sf_dir)
+    return build(spark, sf_dir, chart_pages(spark, sf_dir))
+
+
+def landing_root(spark: SparkSession, sf_dir: str, *collections: str, alone: bool = False) -> str:
+    """Landing zone with the raw collections named, by default all four (built when absent).
+
+    ``alone`` is for a query that reads the charts of one source and needs the pages for
+    nothing else: they aren't written for it, and its joins move that source's columns.
+    """
     root = os.path.join(_root(spark, sf_dir), "landing")
     with _LOCK:
         for coll in collections or BUILDERS:
             path = L.collection_path(root, coll)
             if not _done(spark, path):
-                BUILDERS[coll](spark, sf_dir, chart_pages(spark, sf_dir)).write.mode("overwrite").parquet(path)
+                _documents(spark, sf_dir, coll, alone).write.mode("overwrite").parquet(path)
     return root
 
 
-def raw(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
-    return L.read_raw(spark, landing_root(spark, sf_dir, collection), collection)
+def raw(spark: SparkSession, sf_dir: str, collection: str, alone: bool = False) -> DataFrame:
+    return L.read_raw(spark, landing_root(spark, sf_dir, collection, alone=alone), collection)
 
 
 def _source_path(root: str, table: str, source: str) -> str:

@@ -50,16 +50,17 @@ def _t(spark, d, name):
 
 def sp_docs(spark, d):
     """Landed Spotify chart documents (nested parquet, declared schema)."""
-    return M.raw(spark, d, "spotify_top_tracks")
+    return M.raw(spark, d, "spotify_top_tracks", alone=True)
 
 
 def sc_docs(spark, d):
-    return M.raw(spark, d, "soundcloud_top_tracks")
+    return M.raw(spark, d, "soundcloud_top_tracks", alone=True)
 
 
 def sp_facts(spark, d):
     """The Spotify transform run on the landed documents."""
-    return transform.spotify(sp_docs(spark, d), M.raw(spark, d, "spotify_artists"))
+    # the artists are made of the pages, so the charts are too
+    return transform.spotify(M.raw(spark, d, "spotify_top_tracks"), M.raw(spark, d, "spotify_artists"))
 
 
 def sc_facts(spark, d):
@@ -599,7 +600,7 @@ SELECT DISTINCT user_id AS id, {RUN_STAMP} AS data_time
 FROM lines JOIN supplier ON s_suppkey = user_id WHERE s_acctbal < 0""")
 def missing_reported(spark, d):
     """What the reports among the landed artist documents name."""
-    return transform.soundcloud_missing(M.raw(spark, d, "soundcloud_artists"))
+    return transform.soundcloud_missing(M.raw(spark, d, "soundcloud_artists", alone=True))
 
 
 @register("request_frontier_of_run", _with(LINES) + f"""

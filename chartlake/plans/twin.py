@@ -77,14 +77,15 @@ def chart_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, li = _base(spark, sf_dir)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type")
     lines = o.join(li.join(p, li.l_partkey == p.p_partkey, "left"), o.o_orderkey == li.l_orderkey)
-    key, text = F.col("p_partkey"), F.col("l_partkey").cast("string")
+    # without a part its columns are NULL; only the genre has to know it
+    key, part, text = F.col("l_partkey"), F.col("p_partkey"), F.col("l_partkey").cast("string")
     return lines.select(
         "o_orderkey", "o_custkey", "o_orderdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_shipdate", "l_returnflag",
         F.when(key % 13 == 0, F.concat("p_name", F.repeat(F.lit("x"), 101))).otherwise(F.col("p_name")).alias("t_name"),
         (F.col("p_size").cast("bigint") * F.when(key % 17 == 0, -1000).otherwise(1000)).alias("t_duration"),
-        F.when(key % 11 == 0, " ").when(key % 11 == 2, F.concat("p_type", F.repeat(F.lit("x"), 60)))
-         .when(key % 11 != 1, F.col("p_type")).alias("t_genre"),
+        F.when(part % 11 == 0, " ").when(part % 11 == 2, F.concat("p_type", F.repeat(F.lit("x"), 60)))
+         .when(part % 11 != 1, F.col("p_type")).alias("t_genre"),
         F.when(F.col("l_partkey") % 19 == 0, F.concat(text, F.repeat(F.lit("0"), 32))).otherwise(text).alias("t_id"),
         F.when(F.col("l_quantity") == 50, -50).otherwise(F.col("l_quantity").cast("bigint")).alias("t_popularity"))
 
@@ -141,20 +142,28 @@ def _paged_by_range(lines: DataFrame, keys: list, size: int) -> DataFrame:
             .drop("__k", "__range", "__rn", "__o", "__r", "__start"))
 
 
-#: What a page keeps of each of its lines.
+#: What a page keeps of each of its lines: for all four collections, or for the charts of one source.
 LINE = ["o_custkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
         "t_id", "t_name", "t_duration", "t_popularity", "t_genre"]
+SPOTIFY_LINE = ["o_custkey", "l_suppkey", "l_shipdate", "t_id", "t_name", "t_duration", "t_popularity"]
+SOUNDCLOUD_LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
+                   "t_name", "t_duration", "t_popularity", "t_genre"]
+#: What :func:`item_order` reads.
+ORDERED_BY = ["l_shipdate", "t_id", "t_name", "t_duration", "t_popularity", "l_suppkey", "o_custkey"]
 
 
-def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chart_pages(spark: SparkSession, sf_dir: str, line: list[str] = LINE) -> DataFrame:
     """(o_orderkey, o_orderdate, page, lines) of every chart document, empty charts included:
-    what all four collections are made of without moving a line again."""
+    what all four collections are made of without moving a line again. The joins move
+    the columns that ``line`` and the order of the items need, no others."""
     o, li = _base(spark, sf_dir)
-    lines = paged_lines(chart_lines(spark, sf_dir), size=CHART_PAGE, counted=li)
+    used = dict.fromkeys(["o_orderkey", "o_orderdate", "l_orderkey", *ORDERED_BY, *line])
+    lines = paged_lines(chart_lines(spark, sf_dir).select(*used), size=CHART_PAGE, counted=li)
     page = ["o_orderkey", "o_orderdate", "page"]
-    full = lines.groupBy(*page).agg(F.collect_list(F.struct(*LINE)).alias("lines"))
+    full = lines.groupBy(*page).agg(F.collect_list(F.struct(*line)).alias("lines"))
     none = _paged_in_place(o.where(F.col("o_orderkey").isNotNull()).join(
-        li.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"), ["o_orderdate"], CHART_PAGE)
+        li.select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"),
+        ["o_orderdate"], CHART_PAGE)
     empty = none.select(*page, F.array().cast(full.schema["lines"].dataType).alias("lines")).distinct()
     return full.unionByName(empty)
 
@@ -197,12 +206,12 @@ def _items(item):
     return F.array_sort(F.transform("lines", lambda line: item(lambda name: line[name])))
 
 
-def _pages(spark, sf_dir, pages):
-    return chart_pages(spark, sf_dir) if pages is None else pages
+def _pages(spark, sf_dir, pages, line=LINE):
+    return chart_pages(spark, sf_dir, line) if pages is None else pages
 
 
 def spotify_top_tracks(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
-    docs = _pages(spark, sf_dir, pages)
+    docs = _pages(spark, sf_dir, pages, SPOTIFY_LINE)
     return docs.select(
         F.concat(F.lit("/charts/"), F.col("o_orderkey"), F.lit("/"), F.coalesce("page", F.lit(0))).alias("href"),
         F.lit(CHART_PAGE).cast("bigint").alias("limit"),
@@ -261,7 +270,7 @@ def soundcloud_item(of=F.col, run="o_orderdate"):
 
 
 def soundcloud_top_tracks(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
-    docs = _pages(spark, sf_dir, pages)
+    docs = _pages(spark, sf_dir, pages, SOUNDCLOUD_LINE)
     return docs.select(
         F.lit("all-music").alias("genre"), F.lit("top").alias("kind"),
         run_stamp("o_orderdate").alias("last_updated"),
@@ -270,14 +279,14 @@ def soundcloud_top_tracks(spark: SparkSession, sf_dir: str, pages: DataFrame | N
         run_stamp("o_orderdate").alias("data_time"))
 
 
-def soundcloud_artists(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
+def soundcloud_artists(spark: SparkSession, sf_dir: str, charts: DataFrame | None = None) -> DataFrame:
     """Artist documents of the suppliers each run names (some with a type of
     their own), and reports of those that couldn't be fetched (negative
-    balance), one a document so that no run gathers its reports in one row."""
-    lines = explode_fields(_pages(spark, sf_dir, pages), "lines",
-                           {"l_suppkey": "l_suppkey", "l_linenumber": "l_linenumber"}, keep=["o_orderdate"])
-    lines = lines.where(F.col("l_linenumber") != NO_USER_LINE)
-    runs = lines.select("o_orderdate", F.col("l_suppkey").alias("key")).distinct()
+    balance), one a document so that no run gathers its reports in one row.
+    ``charts`` are the landed ``soundcloud_top_tracks``, whose users are fetched."""
+    docs = soundcloud_top_tracks(spark, sf_dir) if charts is None else charts
+    runs = explode_fields(docs, "collection", {"key": "track.user_id"}, keep=["data_time"])
+    runs = runs.where(F.col("key").isNotNull()).distinct()
     s = table(spark, sf_dir, "supplier")
     named = runs.join(s, runs.key == s.s_suppkey)
     got = F.col("s_acctbal") >= 0
@@ -286,4 +295,4 @@ def soundcloud_artists(spark: SparkSession, sf_dir: str, pages: DataFrame | None
         F.when(got, F.floor("s_acctbal").cast("bigint")).alias("followers_count"),
         F.when(~got, "missing_artists").when(F.col("s_suppkey") % 2 == 0, "user").alias("type"),
         F.when(~got, F.array("s_suppkey")).alias("data"),
-        run_stamp("o_orderdate").alias("data_time"))
+        "data_time")

@@ -121,3 +121,48 @@ def test_stored_files_are_dense_and_the_codec_goes_back(spark, tmpdir_path):
     assert spark.conf.get(CODEC) == own != "zstd"
     files = [f for _, _, names in os.walk(M._root(spark, d)) for f in names if f.endswith(".parquet")]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_query_over_the_charts_of_one_source_writes_no_pages(spark, tmpdir_path):
+    import os
+
+    from chartlake.plans import materialize as M
+    from chartlake.plans import registry as R
+    d = _star(spark, tmpdir_path)
+    root = M._root(spark, d)
+    assert R.QUERIES["explode_two_level"](spark, d).count() == 2 * 9
+    assert os.listdir(root) == ["landing"] and os.listdir(f"{root}/landing") == ["spotify_top_tracks"]
+    assert R.QUERIES["soundcloud_artists"](spark, d).count() > 0
+    assert R.QUERIES["missing_ids"](spark, d).count() == 0
+    assert os.listdir(root) == ["landing"]
+    assert R.QUERIES["dedupe_artists"](spark, d).count() == 3
+    assert "pages" in os.listdir(root)
+
+
+def test_charts_are_the_same_with_and_without_stored_pages(spark, tmpdir_path):
+    from chartlake.plans import materialize as M
+    d = _star(spark, tmpdir_path)
+    for build in (twin.spotify_top_tracks, twin.soundcloud_top_tracks):
+        direct, paged = (sorted(map(repr, df.collect())) for df in (build(spark, d), build(spark, d, M.chart_pages(spark, d))))
+        assert direct == paged and len(direct) == 5
+
+
+def test_charts_of_one_source_move_its_columns_only(spark, tmpdir_path):
+    d = _star(spark, tmpdir_path)
+    plan = twin.spotify_top_tracks(spark, d)._jdf.queryExecution().sparkPlan().toString()
+    assert "p_name" in plan and "p_type" not in plan and "l_returnflag" not in plan
+
+
+def test_soundcloud_artists_are_those_the_landed_charts_name(spark, tmpdir_path):
+    d = _star(spark, tmpdir_path)
+    spark.createDataFrame([(1, "s", 0, 5.0), (2, "t", 0, -5.0), (3, "u", 0, 1.0)],
+                          "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+                          ).write.mode("overwrite").parquet(f"{d}/supplier.parquet")
+    item = "array<struct<track:struct<user_id:bigint>>>"
+    charts = spark.createDataFrame(
+        [("r1", [((1,),), ((1,),), ((2,),), ((None,),)]), ("r1", [((1,),)]), ("r2", [((3,),), ((9,),)]), ("r3", [])],
+        f"data_time string, collection {item}")
+    got = sorted(((r.data_time, r.id, r.full_name, r.followers_count, r.type, r.data)
+                  for r in twin.soundcloud_artists(spark, d, charts).collect()), key=repr)
+    assert got == sorted([("r1", 1, "s", 5, None, None), ("r1", None, None, None, "missing_artists", [2]),
+                          ("r2", 3, "u", 1, None, None)], key=repr)
