@@ -232,8 +232,10 @@ def _shared(regions: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     sketch) are near enough for a link, so unrelated documents that share
     passages make no pairs, and no linked pair is missed.
     """
-    sized = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")).where("size > 1")
-    rows = saved(regions.join(sized.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r")).drop("__r"),
+    # dealt once, for the sizes and for the join with them
+    dealt = regions.repartition("region")
+    sized = dealt.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lead")).where("size > 1")
+    rows = saved(dealt.join(sized.withColumnRenamed("region", "__r"), F.col("region") == F.col("__r")).drop("__r"),
                  "regions")
     near = rows.where(F.col("id") != F.col("lead")).groupBy(F.col("id").alias("a"), F.col("lead").alias("b")).agg(
         F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))

@@ -140,6 +140,22 @@ def test_unrelated_documents_of_shared_regions_make_no_pairs(spark):
     assert {x for p in pairs for x in p} == set(range(1, 41))
 
 
+def test_regions_are_made_and_dealt_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    rows = [(r, i) for i in range(40) for r in (i // 2, 100 + i // 2, 200 + i // 2, 300 + i)]
+    regions = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).map(counted), "region long, id long")
+    sketches = spark.createDataFrame([(i, 9, [0] * jaccard_join.SKETCH) for i in range(40)],
+                                     "id long, n long, sketch array<long>")
+    pairs = {(r.a, r.b) for r in jaccard_join._shared(regions, sketches, 85).collect()}
+    assert pairs == {(i + 1, i) for i in range(0, 40, 2)}
+    assert made.value == len(rows)
+
+
 def test_sketches_of_linked_sets_are_near(spark):
     import numpy as np
     rng = np.random.default_rng(4)
