@@ -252,3 +252,23 @@ def test_incremental_ingest_soundcloud(spark, tmpdir_path):
     # the sentinel document is not an artist; the unknown member is
     assert rows(W.read_table(spark, wh, "artists"), "artist_id") == [("0",), ("7",), ("No Artist",)]
     assert rows(W.read_table(spark, wh, "track_genres"), "track_id", "genre") == [("1", "Pop")]
+
+
+def test_shuffle_files_of_a_stored_step_are_removed(spark):
+    import time
+
+    from chartlake.llm.common import saved
+    from chartlake.session import SHUFFLES_GO
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    own, before = spark.conf.get(SHUFFLES_GO, None), shuffles()
+    kept = saved(spark.range(1000).repartition(4, "id"), "shuffled")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert kept.count() == 1000 and spark.conf.get(SHUFFLES_GO, None) == own
