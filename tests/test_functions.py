@@ -101,3 +101,11 @@ def test_build_url_null_inputs(spark):
                                "u string, m map<string,string>")
     got = [r.r for r in df.select(CF.build_url("u", F.col("m")).alias("r")).collect()]
     assert got == ["http://a.example/x", None]
+
+
+def test_round_to_hour_holds_its_time_once_and_rounds_early_times(spark):
+    rounded = CF.round_to_hour(CF.parse_iso("t"))
+    assert str(rounded).count("try_to_timestamp") == 1
+    df = spark.createDataFrame([("1969-12-31 23:29:59",), ("1969-12-31 23:30:00",), ("0001-01-01 00:29:00",)], "t string")
+    assert [r.r for r in df.select(rounded.cast("string").alias("r")).collect()] == [
+        "1969-12-31 23:00:00", "1970-01-01 00:00:00", "0001-01-01 00:00:00"]
