@@ -166,3 +166,42 @@ def test_soundcloud_artists_are_those_the_landed_charts_name(spark, tmpdir_path)
                   for r in twin.soundcloud_artists(spark, d, charts).collect()), key=repr)
     assert got == sorted([("r1", 1, "s", 5, None, None), ("r1", None, None, None, "missing_artists", [2]),
                           ("r2", 3, "u", 1, None, None)], key=repr)
+
+
+def _tables(spark, folder):
+    """A few orders of several lines, with nulls, a line without a part and an order without lines."""
+    def put(name, sql):
+        spark.sql(sql).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    put("orders", """SELECT id AS o_orderkey, IF(id = 5, NULL, id % 3) AS o_custkey,
+        IF(id = 4, NULL, TIMESTAMP_NTZ'1995-01-10 00:00:00' + make_dt_interval(int(id) * 9)) AS o_orderdate FROM range(12)""")
+    put("lineitem", """SELECT id % 11 AS l_orderkey, id % 7 AS l_partkey, IF(id = 9, NULL, id % 4) AS l_suppkey,
+        int(id % 8) AS l_linenumber, decimal(id % 51) AS l_quantity,
+        IF(id = 3, NULL, TIMESTAMP_NTZ'1995-02-01 00:00:00' + make_dt_interval(int(id))) AS l_shipdate,
+        element_at(array('A', 'N', 'R'), int(id % 3) + 1) AS l_returnflag FROM range(90)""")
+    put("part", "SELECT id AS p_partkey, concat('part ', id) AS p_name, int(id) AS p_size, 'PROMO TIN' AS p_type FROM range(6)")
+    put("supplier", "SELECT id AS s_suppkey, concat('s', id) AS s_name, id AS s_nationkey, double(id - 1) AS s_acctbal FROM range(4)")
+    put("customer", "SELECT id AS c_custkey, concat('c', id) AS c_name, id AS c_nationkey, double(id) AS c_acctbal FROM range(3)")
+    put("nation", "SELECT id AS n_nationkey, concat('n', id) AS n_name, id % 2 AS n_regionkey FROM range(3)")
+    put("region", "SELECT id AS r_regionkey, concat('r', id) AS r_name FROM range(2)")
+
+
+def test_documents_that_are_not_landed_are_those_of_the_landing(spark, tmp_path):
+    import os
+
+    from chartlake.plans import materialize as M
+    from conftest import rows
+    d = str(tmp_path / "t")
+    _tables(spark, d)
+    made = {c: rows(M.documents(spark, d, c)) for c in M.BUILDERS}
+    assert not os.path.exists(os.path.join(M._root(spark, d), "landing"))
+    for c, documents in made.items():
+        assert documents and documents == rows(M.raw(spark, d, c)), c
+
+
+def test_items_of_a_page_keep_their_order(spark):
+    pages = spark.createDataFrame([([(2, None, "b"), (None, "x", "a"), (2, "x", None), (1, "x", "c"), (None, None, "z")],), ([],)],
+                                  "lines array<struct<a: int, b: string, c: string>>")
+    item = lambda of: F.struct(of("a").alias("a"), F.struct(of("b").alias("b"), of("c").alias("c")).alias("t"))
+    old = F.array_sort(F.transform("lines", lambda line: item(lambda name: line[name])))
+    got = pages.select(twin._items(item).alias("new"), old.alias("old")).collect()
+    assert all(r.new == r.old for r in got) and len(got[0].new) == 5
